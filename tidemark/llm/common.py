@@ -76,6 +76,9 @@ class RollingHash:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self._up = self._down = np.zeros(0, np.uint64)
 
+    def __reduce__(self):
+        return RollingHash, (self.base,)
+
     def _tables(self, n: int) -> None:
         if len(self._up) < n:
             size = max(n, 2 * len(self._up))
@@ -90,6 +93,7 @@ class RollingHash:
 
     def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hashes of the spans [start, end)."""
+        self._tables(len(prefix))
         return fmix64((prefix[end] - prefix[start]) * self._down[start])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, mixing, secrets, token_output
+from tidemark.llm import byte_repeats, language_id, mixing, secrets, token_output, word_windows
 from tidemark.llm.common import documents
 from tidemark.session import work_dir
 
@@ -26,6 +26,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
 
+def op4_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.remove_repeats(documents(spark, sf_dir), window=50, with_text=False).drop("kept")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     said = language_id.identify(docs, language_id.train(docs))
@@ -37,6 +41,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_windows.remove_repeats(documents(spark, sf_dir), window=35, with_text=False).drop("kept")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
