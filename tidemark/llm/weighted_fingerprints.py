@@ -95,7 +95,7 @@ def fingerprint(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
 
 def weighted(text: Column, variant: int) -> Column:
     """array<struct<v, h, w>>: distinct word hashes of a text with their counts."""
-    hashes = F.array_sort(F.transform(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), lambda x: F.xxhash64(x)))
+    hashes = F.sort_array(F.transform(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), lambda x: F.xxhash64(x)))
     # Last place of each distinct hash in the sorted array; the distance between such places is the count.
     packed = F.transform(F.array(hashes), lambda s: last_places(s, variant))
     return F.element_at(packed, 1)
