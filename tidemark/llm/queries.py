@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_repeats, language_id, mixing, secrets, token_output, weighted_fingerprints, word_windows
+from tidemark.llm import byte_repeats, decontaminate, language_id, mixing, secrets, token_output, weighted_fingerprints, word_windows
 from tidemark.llm.common import documents
 from tidemark.session import work_dir
 
@@ -49,6 +49,10 @@ def op9_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_windows.remove_repeats(documents(spark, sf_dir), window=35, with_text=False).drop("kept")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
