@@ -16,10 +16,13 @@ doc_id are all kept, ordered by a hash of the text; an empty table gives an empt
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import json
+import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -37,7 +40,7 @@ _NOT_PLAIN = re.compile(rf"[^\x00-\x1b\x20-\x7f{_PLAIN_LETTERS}€‘’“”
 _SPLIT = re.compile(
     rf" ?[{_PLAIN_LETTERS}]+| ?[0-9]+|'(?:[sdmt]|ll|ve|re)| ?[^\s{_PLAIN_LETTERS}0-9]+|\s+(?!\S)|\s+"
 )
-_CACHE_ENTRIES = 600_000
+_CACHE_ENTRIES = 800_000
 
 BLOCKS = (
     "shard int, block int, first_doc_id long, last_doc_id long, dict_sha256 string, shard_start long, tokens long, "
@@ -45,14 +48,32 @@ BLOCKS = (
 )
 
 
+class Pieces(dict):
+    """Serialised ids by piece; a missing one is asked of the tokenizer's model."""
+
+    def __init__(self, model, code: str):
+        self.model, self.code = model, code
+        # The byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = sorted(set(range(256)) - set(shown))
+        self.alphabet = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+    def __missing__(self, piece: str) -> bytes:
+        word = piece.encode().decode("latin-1").translate(self.alphabet)
+        made = self[piece] = array.array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+        return made
+
+
 class Encoder:
     """Encodes texts with the tokenizers library to little-endian id bytes.
 
-    A byte-level tokenizer without a normaliser treats each piece of its splitter alone, so pieces are encoded once a worker and
-    looked up afterwards. Texts with other characters, and other kinds of tokenizer, go through the library whole.
+    A byte-level BPE tokenizer without a normaliser treats each piece of its splitter alone, so the library's model gets each piece
+    once a worker and is not asked again. Texts with other characters, and other kinds of tokenizer, go through the library whole.
     """
 
     def __init__(self, path: str):
+        # The tasks already use every core; the library's own threads would only contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
@@ -61,30 +82,20 @@ class Encoder:
         spec = json.loads(Path(path).read_text())
         split = spec.get("pre_tokenizer") or {}
         self.by_piece = spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
-        self.by_piece = self.by_piece and not split.get("add_prefix_space")
+        self.by_piece = self.by_piece and not split.get("add_prefix_space") and spec["model"].get("type", "BPE") == "BPE"
+        self.by_piece = self.by_piece and sys.byteorder == "little"
         added = [x["content"] for x in spec.get("added_tokens", [])]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.pieces: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in made]
+        self.pieces = Pieces(self.library.model, "H" if self.id_bytes == 2 else "I")
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.by_piece or _NOT_PLAIN.search(text) or (self.added and self.added.search(text)):
-            return self._whole([text])[0]
-        pieces, known = _SPLIT.findall(text), self.pieces
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(known) > _CACHE_ENTRIES:
-            known.clear()
-        new = [x for x in dict.fromkeys(pieces) if x not in known]
-        known.update(zip(new, self._whole(new), strict=True))
-        return b"".join(map(known.__getitem__, pieces))
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        if len(self.pieces) > _CACHE_ENTRIES:
+            self.pieces.clear()
+        return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)
