@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_repeats, decontaminate, language_id, mixing, secrets, token_output, weighted_fingerprints, word_windows
+from tidemark.llm import bag_minhash, byte_repeats, decontaminate, language_id, mixing, secrets, token_output, weighted_fingerprints, word_windows
 from tidemark.llm.common import documents
 from tidemark.session import work_dir
 
@@ -40,6 +40,10 @@ def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.fingerprint(documents(spark, sf_dir))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), weights=[3, 1, 2], total_share=1.5, max_epochs=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
