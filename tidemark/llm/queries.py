@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bag_minhash, byte_repeats, decontaminate, language_id, mixing, secrets, token_output, weighted_fingerprints, word_windows
+from tidemark.llm import bag_minhash, byte_repeats, decontaminate, language_id, mixing, pii, secrets, token_output, weighted_fingerprints, word_windows
 from tidemark.llm.common import documents
 from tidemark.session import work_dir
 
@@ -26,6 +26,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(documents(spark, sf_dir))
+
+
 def op4_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_repeats.remove_repeats(documents(spark, sf_dir), window=50, with_text=False).drop("kept")
 
