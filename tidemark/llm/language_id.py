@@ -206,3 +206,17 @@ def identify(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
 
     ordered = ", ".join([*(t for x in names for t in types.split(", ") if t.startswith(f"`{x}` ")), "lang_pred string", "score double"])
     return narrow.mapInArrow(run, ordered)
+
+
+def accept(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
+    """``docs``, all columns, without what is ``und`` or predicted with a score under ``least``."""
+    model_b = docs.sparkSession.sparkContext.broadcast(model)
+    if "text" not in docs.columns:
+        raise ValueError("documents need a text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, _BATCH):
+            said, scores = model_b.value.predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array([a != UNKNOWN and s >= least for a, s in zip(said, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
