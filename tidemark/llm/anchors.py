@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fmix64, gathered, text_buffer
+from tidemark.llm.common import fmix64, gathered, small_batches, text_buffer
 
 #: Cells of one sketch row, at most; a row's bitmap then has 128 MiB.
 MAX_CELLS = 1 << 30
@@ -29,6 +29,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     """(doc_key, tie, text): rows that repeat both keys are equal rows and share their fate."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_key")
+    small_batches(docs.sparkSession)
     return docs.select(key, F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
@@ -75,7 +76,7 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def sketch_width(symbols: int, density: float) -> int:
-    want = max(MIN_CELLS, int(8 * symbols * density))
+    want = max(MIN_CELLS, int(4 * symbols * density))
     return min(MAX_CELLS, 1 << (want - 1).bit_length())
 
 
@@ -123,7 +124,7 @@ def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np
             if len(got):
                 held.append(got)
                 size += len(got)
-            if size > 3_000_000:
+            if size > 1_000_000:
                 yield from flush()
                 held, size = [], 0
         if held:

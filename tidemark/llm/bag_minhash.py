@@ -32,7 +32,7 @@ from tidemark.llm.components import components
 from tidemark.llm.word_windows import word_hashes
 
 REGISTERS = 128
-BATCH = 4 << 20
+BATCH = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLES = RollingHash(0xD1342543DE82EF95)
 

@@ -22,6 +22,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Hand texts to Python some MB at a time, whatever their length; the session keeps a smaller limit of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.isdigit() or int(now) > limit or int(now) <= 0:
+        spark.conf.set(key, str(limit))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by a table in the shared folder; it outlives a lost executor."""
     spark = df.sparkSession
@@ -81,7 +89,7 @@ class RollingHash:
 
     def _tables(self, n: int) -> None:
         if len(self._up) < n:
-            size = max(n, 2 * len(self._up))
+            size = (n + (1 << 18)) >> 18 << 18
             self._up, self._down = powers(self.base, size), powers(self.inverse, size)
 
     def prefix(self, symbols: np.ndarray) -> np.ndarray:
@@ -116,15 +124,25 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Join small Arrow batches until they hold about ``limit`` bytes, so that per-batch work pays."""
+    """Join small Arrow batches and cut large ones, so that each holds about ``limit`` bytes, or one row."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.nbytes
-        if size >= limit:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
+        if not batch.num_rows:
+            continue
+        total = batch.nbytes
+        if total <= limit:
+            pieces = [(batch, total)]
+        else:
+            weight = np.diff(text_buffer(batch.column("text"))[1]) + 64
+            part = np.cumsum(weight) // limit
+            cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            pieces = [(batch.slice(a, b - a), int(weight[a:b].sum())) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        for piece, n in pieces:
+            if held and size + n > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(piece)
+            size += n
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

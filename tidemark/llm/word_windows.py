@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
 from tidemark.llm.common import RollingHash, fmix64, gathered, text_buffer, word_bounds
 
-BATCH = 6 << 20
+BATCH = 1 << 20
 _TABLE = fmix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BYTES = RollingHash(0x5851F42D4C957F2D)
 _GRAMS = RollingHash(0xD1342543DE82EF95)
@@ -63,7 +63,7 @@ class Windows:
         return self.grams[self.at[new]]
 
 
-def repeated_windows(docs: DataFrame, window: int = 35, gram: int = 18, bucket_chars: int = 8 << 20) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 35, gram: int = 18, bucket_chars: int = 4 << 20) -> DataFrame:
     """Marks (doc_key, tie, spans of words) of all windows that occur more than once."""
     docs = keyed(docs)
     chars = docs.agg(F.sum(F.length("text")).alias("n")).collect()[0].n or 0
