@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
 from tidemark.llm.common import RollingHash, fmix64, gathered, text_buffer
 
-BATCH = 3 << 20
+BATCH = 3 << 18
+FLUSH = 16 << 20
 _TABLE = fmix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _OTHER = fmix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 _FIRST = RollingHash(0x5851F42D4C957F2D)
@@ -66,15 +67,40 @@ def smallest(order: np.ndarray, groups: np.ndarray, doc: np.ndarray) -> np.ndarr
     return out
 
 
-def pack(raw, doc, tie, pos, starts, anchor_at, window: int) -> bytes:
-    """Strings that follow each other under one anchor, as one stretch of bytes."""
-    new = np.concatenate(([True], (np.diff(starts) != 1) | (np.diff(anchor_at) != 0)))
-    at = np.flatnonzero(new)
-    count = np.diff(np.concatenate((at, [len(starts)])))
-    length = count + window - 1
-    body = raw[np.repeat(starts[at], length) + spread(length)]
-    head = [x.tobytes() for x in (doc[at].astype("<i8"), tie[at].astype("<i8"), pos[at].astype("<u4"), count.astype("<u4"))]
-    return np.array([len(at)], "<u4").tobytes() + zstandard.compress(b"".join(head) + body.tobytes(), 3)
+class Stretches:
+    """Strings that follow each other under one anchor, as stretches of bytes, gathered over batches and dealt to buckets."""
+
+    def __init__(self, window: int, buckets: int):
+        self.window, self.buckets, self.held, self.size = window, buckets, [], 0
+
+    def add(self, raw, doc, tie, pos, starts, anchor_at, anchor) -> None:
+        at = np.flatnonzero(np.concatenate(([True], (np.diff(starts) != 1) | (np.diff(anchor_at) != 0))))
+        count = np.diff(np.concatenate((at, [len(starts)])))
+        length = count + self.window - 1
+        body = raw[np.repeat(starts[at], length) + spread(length)]
+        bucket = (fmix64(anchor[at]) % np.uint64(self.buckets)).astype(np.int32)
+        self.held.append((bucket, doc[at], tie[at], pos[at].astype(np.uint32), count.astype(np.uint32), body))
+        self.size += len(body) + 28 * len(at)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        bucket, doc, tie, pos, count, body = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held, self.size = [], 0
+        length = count.astype(np.int64) + self.window - 1
+        begin = np.cumsum(length) - length
+        order = np.argsort(bucket, kind="stable")
+        cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0, [True])))
+        made = []
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            p = order[a:b]
+            head = [x[p].tobytes() for x in (doc, tie, pos, count)]
+            mine = body[np.repeat(begin[p], length[p]) + spread(length[p])].tobytes()
+            made.append(np.array([len(p)], "<u4").tobytes() + zstandard.compress(b"".join(head) + mine, 3))
+        names = bucket[order[cut[:-1]]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.int32()), *[pa.nulls(len(made), pa.int64())] * 2, pa.array(made, pa.binary())], ["bucket", "doc_key", "tie", "data"]
+        )
 
 
 def unpack(data: bytes, window: int) -> tuple[np.ndarray, ...]:
@@ -86,7 +112,7 @@ def unpack(data: bytes, window: int) -> tuple[np.ndarray, ...]:
     return *out, np.frombuffer(body, np.uint8, -1, at)
 
 
-def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 16, bucket_chars: int = 6 << 20) -> DataFrame:
+def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_chars: int = 2 << 20) -> DataFrame:
     """Marks (doc_key, tie, spans of bytes) of all strings that also start in a document of smaller id."""
     docs = keyed(docs)
     chars = docs.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0].n or 0
@@ -96,6 +122,7 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 16, bucket_c
     buckets = max(64, chars // bucket_chars)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Stretches(window, buckets)
         for batch in gathered(batches, BATCH):
             s = Strings(*text_buffer(batch.column("text")), window, gram)
             if not len(s.starts):
@@ -118,18 +145,11 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 16, bucket_c
                 done = marks_batch(doc[again[lo]], tie[again[lo]], pos[again[lo]], pos[again[hi - 1]] + window)
                 yield pa.RecordBatch.from_arrays([pa.array([-1] * done.num_rows, pa.int32()), *done.columns], ["bucket", "doc_key", "tie", "data"])
             pick = np.flatnonzero(~gone)
-            bucket = (fmix64(s.grams[anchor_at[pick]]) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            pick, bucket = pick[order], bucket[order]
-            cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket) != 0, [True])))
-            names, made = [], []
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                p = pick[a:b]
-                names.append(int(bucket[a]))
-                made.append(pack(s.raw, doc[p], tie[p], pos[p], starts[p], anchor_at[p], window))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int32()), *[pa.nulls(len(made), pa.int64())] * 2, pa.array(made, pa.binary())], ["bucket", "doc_key", "tie", "data"]
-            )
+            if len(pick):
+                out.add(s.raw, doc[pick], tie[pick], pos[pick], starts[pick], anchor_at[pick], s.grams[anchor_at[pick]])
+            if out.size > FLUSH:
+                yield from out.flush()
+        yield from out.flush()
 
     def meet(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
@@ -142,9 +162,18 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 16, bucket_c
         if parts:
             doc, tie, pos, count, raw = (np.concatenate(x) for x in zip(*parts, strict=True))
             count = count.astype(np.int64)
-            begin = np.cumsum(count + window - 1) - (count + window - 1)
+            length = count + window - 1
+            begin = np.cumsum(length) - length
             owner, step = np.repeat(np.arange(len(doc)), count), spread(count)
-            order, groups = equal_groups(*hash_pairs(raw, begin[owner] + step, window))
+            starts = begin[owner] + step
+            # Hashed a slice at a time: a prefix table takes 16 bytes a byte.
+            cut = [*np.searchsorted(begin, np.arange(0, len(raw), 1 << 20)), len(begin)]
+            made = []
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if b > a:
+                    lo, hi = begin[a], begin[b - 1] + length[b - 1]
+                    made.append(hash_pairs(raw[lo:hi], starts[np.searchsorted(owner, a) : np.searchsorted(owner, b)] - lo, window))
+            order, groups = equal_groups(*(np.concatenate(x) for x in zip(*made, strict=True)))
             of = doc[owner]
             hit = np.flatnonzero(of > smallest(order, groups, of))
             if len(hit):
@@ -157,7 +186,7 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 16, bucket_c
     return rows.groupBy("bucket").applyInArrow(meet, MARKS)
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 16, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 20, with_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is the bytes that stay, null if not wanted."""
 
     def cut(raw: np.ndarray, spans: list[bytes] | None) -> tuple:
