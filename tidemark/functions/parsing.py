@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,25 +21,35 @@ def stripped(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(outer, r'^"+|"+$', ""), r"^\s+|\s+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parse_number(token: Column, allow_comma_decimal: bool = False) -> tuple[Column, Column]:
     """(value, reason): the repaired number, or why there is none (``empty_or_na``, ``unrepairable``)."""
-    s = stripped(F.coalesce(token, F.lit("")))
-    comma, dot = F.contains(s, F.lit(",")), F.contains(s, F.lit("."))
-    plain = F.replace(s, F.lit(","), F.lit(""))
-    if allow_comma_decimal:
+
+    def commas(s: Column) -> Column:
+        comma, dot = F.contains(s, F.lit(",")), F.contains(s, F.lit("."))
+        plain = F.replace(s, F.lit(","), F.lit(""))
+        if not allow_comma_decimal:
+            return F.when(comma, plain).otherwise(s)
         parts = F.split(s, ",")
         decimal = (F.size(parts) == 2) & (F.length(F.element_at(parts, -1)) != 3)
-        fixed = F.when(comma & ~dot & decimal, F.replace(s, F.lit(","), F.lit("."))).when(comma, plain).otherwise(s)
-    else:
-        fixed = F.when(comma, plain).otherwise(s)
-    found = F.regexp_extract(fixed, f"({NUMBER})", 1)
-    at = F.position(found, fixed)
-    rest = F.concat(F.substring(fixed, F.lit(1), at - 1), F.substring(fixed, at + F.length(found), F.length(fixed)))
-    missing = F.upper(s).isin(MISSING)
-    bad = (found == "") | rest.rlike("[0-9]")
-    reason = F.when(missing, "empty_or_na").when(bad, "unrepairable")
-    value = F.when(~missing & ~bad, found.try_cast("double"))
-    return value, reason
+        return F.when(comma & ~dot & decimal, F.replace(s, F.lit(","), F.lit("."))).when(comma, plain).otherwise(s)
+
+    def judged(fixed: Column) -> Column:
+        return let(F.regexp_extract(fixed, f"({NUMBER})", 1), lambda found: outcome(fixed, found))
+
+    def outcome(fixed: Column, found: Column) -> Column:
+        at = F.position(found, fixed)
+        rest = F.concat(F.substring(fixed, F.lit(1), at - 1), F.substring(fixed, at + F.length(found), F.length(fixed)))
+        bad = (found == "") | rest.rlike("[0-9]")
+        return F.struct(F.when(~bad, found.try_cast("double")).alias("value"), F.when(bad, "unrepairable").alias("reason"))
+
+    missing = F.struct(F.lit(None).cast("double").alias("value"), F.lit("empty_or_na").alias("reason"))
+    made = let(stripped(F.coalesce(token, F.lit(""))), lambda s: F.when(F.upper(s).isin(MISSING), missing).otherwise(let(commas(s), judged)))
+    return made.getField("value"), made.getField("reason")
 
 
 def label_token(value: Column) -> Column:

@@ -131,8 +131,9 @@ def std_envelope(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def storage_type(df: DataFrame, columns: list[str]) -> DataFrame:
     """Platform rule over all columns: INT8, INT16 or FLOAT32, and the first fractional column."""
+    both = [F.col(c) for c in columns] + [F.col(columns[0])]
     whole = [F.coalesce(F.bool_and(F.col(c) == F.floor(c)), F.lit(True)).alias(f"w_{c}") for c in columns]
-    made = df.agg(F.min(F.least(*columns)).alias("low"), F.max(F.greatest(*columns)).alias("high"), *whole)
+    made = df.agg(F.min(F.least(*both)).alias("low"), F.max(F.greatest(*both)).alias("high"), *whole)
     first = F.coalesce(*[F.when(~F.col(f"w_{c}"), F.lit(c)) for c in columns])
     kind = F.when(F.col("low").isNull() | first.isNotNull(), "FLOAT32").when((F.col("low") >= -128) & (F.col("high") <= 127), "INT8")
     kind = kind.when((F.col("low") >= -32768) & (F.col("high") <= 32767), "INT16").otherwise("FLOAT32")

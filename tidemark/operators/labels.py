@@ -86,9 +86,3 @@ def decode_masks(sources: DataFrame) -> DataFrame:
     names = F.posexplode(F.array(*[F.lit(n) for n in MASK_BITS])).alias("bit", "feature")
     made = masks.select("axis", word.alias("word"), names)
     return made.select("axis", "bit", "feature", (F.getbit("word", F.col("bit")) == 1).alias("enabled"))
-
-
-def kind(df: DataFrame, column: str) -> DataFrame:
-    from tidemark.operators.compare import storage_type
-
-    return storage_type(df.select(column, F.col(column).alias("__same")), [column, "__same"])

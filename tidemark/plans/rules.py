@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import labels
+from tidemark.operators import compare, labels
 from tidemark.operators import sequence as seq
 
 #: Severities by rank; 3 and 4 block, 2 loses data.
@@ -35,6 +35,6 @@ def demo_findings(events: DataFrame, quality: DataFrame) -> DataFrame:
         finding(labels.small(quality, "toxic", 20), "HARD-REJECT", "hard-reject", "class_below_min_samples", say("rows:", F.col("n")), F.col("label")),
         finding(seq.class_run_below(events, 6), "SILENT-LOSS", "will-lose-data", "class_run_below_window", say("longest run:", F.col("max_run")), F.col("label")),
         finding(seq.session_below(events, 60), "SILENT-LOSS", "will-lose-data", "session_below_window", say("rows:", F.col("rows")), F.col("session")),
-        finding(labels.kind(events, "value"), "BAD-MODEL", "advisory", "recommended_dtype", F.lit("storage"), F.col("dtype")),
+        finding(compare.storage_type(events, ["value"]), "BAD-MODEL", "advisory", "recommended_dtype", F.lit("storage"), F.col("dtype")),
     ]
     return reduce(DataFrame.union, made)
