@@ -155,7 +155,7 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
 
     def shape(kind: str, real: bool) -> str:
         if kind == "email_spelled":
-            return f"{pick(filler)}{d(2)} (at) mail{d(1)} (dot) com" if real or rng.random() < 0.3 else f"{pick(filler)} at {pick(filler)}. {pick(filler)}"
+            return f"{pick(filler)}{d(int(rng.integers(0, 3)))} (at) {pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))} (dot) {pick(['com', 'org', 'de'])}" if real or rng.random() < 0.3 else f"{pick(filler)} at {pick(filler)}. {pick(filler)}"
         if kind == "iban":
             return iban(real)
         if kind == "ssn":
@@ -177,7 +177,7 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
         if real and kind in ("iban", "card_grouped") and rng.random() < 0.4:
             cue = pick(filler)
         s = shape(kind, real)
-        text = f"{' '.join(pick(filler) for _ in range(4))} {cue}{pick([' ', ': ', ' is '])}{s} {pick(filler)}"
+        text = f"{' '.join(pick(filler) for _ in range(4))} {cue}{pick([' ', ': ', ' is ', ' me at ', f' {pick(filler)} ', f' {pick(filler)} {pick(filler)} '])}{s} {pick(filler)}"
         got = [(k, a, b) for k, a, b in candidates(text) if k == kind]
         if got:
             rows.append(features(text, *got[0]))
