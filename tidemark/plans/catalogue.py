@@ -772,3 +772,78 @@ def verdict(spark, sf):
     from tidemark.plans import rules
 
     return rules.verdict(rules.demo_findings(ev(spark, sf), table(spark, sf, "labels")))
+
+
+# Forms with invalid labels, zero seeds and usage counts
+
+
+@query(
+    f"""with {EV}, iv as (select session, pos, n, case when event_id%13=0 then null else label end as label from ev), {runs_sql('iv')}, g as (select *, run_end-pos>=3 and label is not null as pure from rn where pos%2=0 and pos+3<=n),
+tot as (select count(*) as total_windows, coalesce(sum((not pure)::int),0)::bigint as mixed_windows from g), ls as (select distinct label from rn where label is not null), pw as (select label, count(*) as c from g where pure group by label)
+select ls.label, coalesce(c,0) as pure_windows, total_windows, mixed_windows from ls left join pw using(label) cross join tot"""
+)
+def pure_windows_invalid_labels(spark, sf):
+    df = ev(spark, sf).withColumn("label", F.when(F.col("event_id") % 13 != 0, F.col("label")))
+    return seq.pure_windows(df, 3, 2)
+
+
+@query("select count(*) filter (where event_id%13=0) as invalid_rows, count(*) as rows from events")
+def invalid_label_rows(spark, sf):
+    df = ev(spark, sf).withColumn("label", F.when(F.col("event_id") % 13 != 0, F.col("label")))
+    return df.agg(F.count_if(~seq.valid_label(F.col("label"))).alias("invalid_rows"), F.count("*").alias("rows"))
+
+
+@query(
+    _EMA.replace("select i, pos, p as e from o", "select i, pos, list_transform(p, lambda v: 0.3::double*v) as e from o")
+    + f""", u as (select pos, e, {_NOU.format('e')} as q from em_), sw as (select pos, e, q, ({_ARG.format('e')})=1 and list_max(e)-list_max(q)<0.2 as sw from u)
+select 0::bigint as stream, pos, (case when sw then {_ARG.format('q')} else {_ARG.format('e')} end)::bigint as pred, {R('case when sw then list_max(q) else list_max(e) end')} as confidence from sw"""
+)
+def firmware_margin(spark, sf):
+    from tidemark.streaming import stateful
+
+    return stateful.batch(pr(spark, sf)).select("stream", "pos", "pred", "confidence")
+
+
+@query()
+def event_transitions(spark, sf):
+    from tidemark.streaming import stateful
+
+    return stateful.batch(pr(spark, sf)).filter("event").select("stream", "pos", "pred")
+
+
+@query(
+    f"""with {PR}, b as (select pos, (case when list_max(p)>=0.3 then {_ARG.format('p')} else -1 end)::bigint as pred from pr), {_STREAK.format('x', 'b')}
+select 'threshold' as pipeline, pred as class, count(*) as frames, sum((streak=1)::int)::bigint as episodes from xs group by pred"""
+)
+def frame_counts(spark, sf):
+    made = pr(spark, sf).withColumn("out", postprocess.threshold(F.col("p"), 0.3))
+    return postprocess.frame_report(made, "threshold")
+
+
+@query(
+    "with m(axis, w) as (values " + ",".join(f"({i}::bigint, {int(m[2:10], 16)}::bigint)" for i, m in enumerate(_MASKS)) + "), n(bit, feature) as (values "
+    + ",".join(f"({i}::bigint,'{f}')" for i, f in enumerate(labels.MASK_BITS)) + "), d as (select axis, feature, (w>>bit::int)&1=1 as e from m cross join n) select feature, count(*) filter (where e) as axes, not bool_or(e) as missing from d group by feature"
+)
+def mask_usage(spark, sf):
+    made = mask_decode(spark, sf)
+    return made.groupBy("feature").agg(F.count_if("enabled").alias("axes"), (~F.bool_or("enabled")).alias("missing"))
+
+
+@query("select count(*) filter (where value is null) + count(*) filter (where event_type is null) + count(*) filter (where ts is null) as null_cells, count(*) as rows from events")
+def null_census(spark, sf):
+    df = table(spark, sf, "events")
+    cells = [F.count_if(F.col(c).isNull()) for c in ("value", "event_type", "ts")]
+    return df.agg((cells[0] + cells[1] + cells[2]).alias("null_cells"), F.count("*").alias("rows"))
+
+
+@query(f"with {LI}, {CP.format('flag', 'li')} select flag, class_pos, quantity from cp where class_n<=5 or (class_pos>=3 and class_pos<class_n-3 and class_n>6)")
+def class_edge_trim(spark, sf):
+    made = seq.class_position(li(spark, sf), "flag")
+    keep = (F.col("class_n") <= 6) | ((F.col("class_pos") >= 3) & (F.col("class_pos") < F.col("class_n") - 3))
+    return made.filter(keep).select("flag", "class_pos", "quantity")
+
+
+@query("with n(k) as (select unnest(range(0,300))) select k, k>=1 and (k & (k-1))=0 as pow2, k in (128,256) as fft_window from n")
+def power_of_two(spark, sf):
+    k = F.col("k")
+    return spark.range(300).select(F.col("id").alias("k")).select("k", parsing.is_power_of_two(k).alias("pow2"), (parsing.is_power_of_two(k) & k.between(128, 2048)).alias("fft_window"))
