@@ -8,8 +8,8 @@ points before a limit are made; the limit is raised for a document until all its
 
 Banding: ``bands`` of ``rows`` registers; at 0.8 a link is missed by all 25 bands of 5 with probability 5e-5. Candidates of a bucket
 are first checked against its best connected member only (a star, no pairs within the group), verified by the exact multiset overlap;
-what components then still meet in a bucket is checked across components. So no candidate link between different components is left
-out, and copies are never expanded into pairs.
+what components then still meet in a bucket is checked across components, in tiles. So no candidate link between different components
+is left out, and copies are never expanded into pairs.
 
 Defined cases: a null text counts as the empty text; equal texts are always one class, also those without words; texts without words
 are otherwise near nothing; a null doc_id is the least id; equal rows share their class; other columns are ignored.
@@ -33,6 +33,7 @@ from tidemark.llm.word_windows import word_hashes
 
 REGISTERS = 128
 BATCH = 1 << 20
+TILE = 256
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLES = RollingHash(0xD1342543DE82EF95)
 
@@ -183,6 +184,63 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float
     return materialise(both.mapInArrow(run, "a binary, b binary"), f"{name}-links")
 
 
+def across(met: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
+    """Links (a, b) between components that still share a bucket.
+
+    Members of the smaller components of a bucket are held against all others of it in square tiles, so no task has more than two
+    blocks of ``TILE`` documents, and only links leave it. A pair is looked at in the first band that it shares, if its sketches agree
+    in ``threshold - margin`` of the registers (3.4 deviations), and verified exactly unless the tile already joined its components.
+    """
+    known = met.join(label, "node", "left").select("band", "hash", "node", F.coalesce("label", "node").alias("label"))
+    by_label = known.groupBy("band", "hash", "label").agg(F.count("*").alias("n"))
+    mixed = by_label.groupBy("band", "hash").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("labels"))
+    blocks = lambda n: F.ceil(n / TILE).cast("int")
+    mixed = mixed.filter("labels > 1").select("band", "hash", F.col("main.label").alias("main"), blocks(F.col("all")).alias("nb"), blocks(F.col("all") - F.col("main.n")).alias("mb"))
+    known = materialise(known.join(mixed, ["band", "hash"]), "mixed")
+    wanted = known.select("node").distinct()
+    part = nodes.join(wanted, "node", "left_semi")
+    texts = docs.join(part.select("node", "doc_key", "tie"), ["doc_key", "tie"]).select("node", "text").dropDuplicates(["node"])
+    part = materialise(part.select("node", "bands", "sketch").join(texts, "node"), "mixed-texts")
+    at = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    small = known.filter(F.col("label") != F.col("main")).select("band", "hash", "node", "label", at(F.col("mb")).alias("i"), each(F.col("nb")).alias("j"), F.lit(True).alias("minor"), "main")
+    whole = known.select("band", "hash", "node", "label", each(F.col("mb")).alias("i"), at(F.col("nb")).alias("j"), F.lit(False).alias("minor"), "main")
+    rows = small.unionByName(whole).join(part, "node")
+
+    def tile(key: tuple, group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        left, right = [r for r in rows if r["minor"]], [r for r in rows if not r["minor"]]
+        out: tuple[list, list] = ([], [])
+        if left and right:
+            band, main = key[0].as_py(), right[0]["main"]
+            sketch = np.frombuffer(b"".join(r["sketch"] for r in right), "<u2").reshape(len(right), -1)
+            bands = np.array([r["bands"] for r in right])
+            up: dict[bytes, bytes] = {}
+
+            def root(x: bytes) -> bytes:
+                while x in up:
+                    x = up[x]
+                return x
+
+            bag = functools.lru_cache(2 * TILE)(bag_of)
+            for a in left:
+                alike = (sketch == np.frombuffer(a["sketch"], "<u2")).mean(1)
+                shared = bands == np.array(a["bands"])
+                first = shared[:, band] & ~shared[:, :band].any(1)
+                order = np.argsort(-alike, kind="stable")
+                for k in order[(alike >= threshold - margin)[order] & first[order]].tolist():
+                    b = right[k]
+                    if root(a["label"]) == root(b["label"]) or (b["label"] != main and b["node"] > a["node"]):
+                        continue
+                    if likeness(bag(a["text"]), bag(b["text"])) >= threshold:
+                        up[root(a["label"])] = root(b["label"])
+                        out[0].append(a["node"])
+                        out[1].append(b["node"])
+        return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
+
+    return materialise(rows.groupBy("band", "hash", "i", "j").applyInArrow(tile, "a binary, b binary"), "across-links")
+
+
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 25, rows: int = 5) -> DataFrame:
     """(doc_key, tie, class_key, class_tie) of every document: the least document of its class."""
     docs = keyed(docs)
@@ -196,18 +254,9 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 25, rows:
     met = materialise(met.join(degree, "node"), "met-degree")
     leader = met.groupBy("band", "hash").agg(F.max(F.struct("degree", "node")).getField("node").alias("b"))
     star = met.join(leader, ["band", "hash"]).filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
-    links = verify(plausible(star, nodes, threshold - 0.2), docs, nodes, threshold, "star")
+    links = verify(plausible(star, nodes, threshold - 0.12), docs, nodes, threshold, "star")
     label = materialise(components(links), "labels")
-    # Components that still meet in a bucket.
-    known = met.join(label, "node", "left").select("band", "hash", "node", F.coalesce("label", "node").alias("label"))
-    mixed = known.groupBy("band", "hash", "label").agg(F.count("*").alias("n"))
-    mixed = mixed.groupBy("band", "hash").agg(F.max(F.struct("n", "label")).getField("label").alias("main"), F.count("*").alias("labels")).filter("labels > 1")
-    known = materialise(known.join(mixed.select("band", "hash", "main"), ["band", "hash"]), "met-again")
-    minor = known.filter(F.col("label") != F.col("main")).select("band", "hash", F.col("node").alias("a"), F.col("label").alias("la"))
-    across = minor.join(known.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("lb")), ["band", "hash"]).filter(F.col("la") != F.col("lb"))
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    tested = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = verify(plausible(across.join(tested, ["a", "b"], "left_anti"), nodes, threshold - 0.2), docs, nodes, threshold, "across")
+    more = across(met, label, nodes, docs, threshold)
     label = components(links.union(more)) if more.limit(1).count() else label
     of = nodes.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.struct("doc_key", "tie").alias("r"))
     least = of.groupBy("label").agg(F.min("r").alias("r"))
