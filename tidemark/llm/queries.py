@@ -65,5 +65,24 @@ def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+#: Strings as hex, two digits a byte; a byte goes if one of the 50 strings that cover it starts in a smaller document.
+BYTE_REPEATS_SQL = """with t as (select doc_id, hex(encode(coalesce(text,''))) as h from documents),
+b as (select doc_id, h, unnest(range(0, length(h)//2)) as i from t),
+s as (select doc_id, i, substr(h, 2*i+1, 2) as c, length(h)//2 as n, case when 2*i+100<=length(h) then substr(h, 2*i+1, 100) end as w from b),
+m as (select doc_id, i, c, coalesce(w is not null and min(doc_id) over (partition by w) < doc_id, false) as hit from s),
+g as (select doc_id, i, c, bool_or(hit) over (partition by doc_id order by i rows between 49 preceding and current row) as gone from m),
+e as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as opens from g),
+r as (select doc_id, count(*) as n_bytes, count(*) filter (where gone) as n_removed, count(*) filter (where opens) as n_spans, coalesce(string_agg(c, '' order by i) filter (where not gone), '') as kept from e group by doc_id)
+select t.doc_id, coalesce(n_bytes,0) as n_bytes, coalesce(n_removed,0) as n_removed, coalesce(n_spans,0) as n_spans, sha256(unhex(coalesce(kept,''))) as kept_sha256 from t left join r using(doc_id)"""
+
+WORD_WINDOWS_SQL = """with t as (select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as ws from documents),
+p as (select doc_id, ws, unnest(range(1, len(ws)+1)) as j from t),
+s as (select doc_id, j, ws[j] as c, case when j+34<=len(ws) then array_to_string(ws[j:j+34], ' ') end as w from p),
+m as (select doc_id, j, c, w is not null and count(*) over (partition by w) > 1 as hit from s),
+g as (select doc_id, j, c, bool_or(hit) over (partition by doc_id order by j rows between 34 preceding and current row) as gone from m),
+r as (select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed, coalesce(string_agg(c, ' ' order by j) filter (where not gone), '') as kept from g group by doc_id)
+select t.doc_id, coalesce(n_words,0) as n_words, coalesce(n_removed,0) as n_removed, sha256(coalesce(kept,'')) as kept_sha256 from t left join r using(doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_byte_repeats": BYTE_REPEATS_SQL, "op9_word_windows": WORD_WINDOWS_SQL}
