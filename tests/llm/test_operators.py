@@ -143,7 +143,9 @@ def test_pii_scan(docs, rows, empty):
     assert pii.find_pii(empty).count() == 0
 
 
-def test_byte_repeats(docs, rows, empty):
+@pytest.mark.parametrize("batch", [byte_repeats.BATCH, 700])
+def test_byte_repeats(docs, rows, empty, monkeypatch, batch):
+    monkeypatch.setattr(byte_repeats, "BATCH", batch)
     w = 50
     first = {}
     for r in rows:
@@ -166,7 +168,9 @@ def test_byte_repeats(docs, rows, empty):
     assert byte_repeats.remove_repeats(empty).count() == 0
 
 
-def test_word_windows(docs, rows, empty):
+@pytest.mark.parametrize("batch", [word_windows.BATCH, 300])
+def test_word_windows(docs, rows, empty, monkeypatch, batch):
+    monkeypatch.setattr(word_windows, "BATCH", batch)
     w = 35
     words = [WORD.findall(r[1] or "") for r in rows]
     count = collections.Counter(tuple(x[i : i + w]) for x in words for i in range(len(x) - w + 1))

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fmix64, gathered, small_batches, text_buffer
+from tidemark.llm.common import fmix64, parts, small_batches, text_buffer, word_bounds
 
 #: Cells of one sketch row, at most; a row's bitmap then has 128 MiB.
 MAX_CELLS = 1 << 30
@@ -48,6 +48,41 @@ def sliding_anchor(grams: np.ndarray, width: int) -> np.ndarray:
     return (low[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def byte_parts(window: int) -> Callable:
+    """Parts of a long text that share window - 1 bytes, so every string lies in exactly one."""
+
+    def cut(raw: np.ndarray, limit: int) -> Iterator[tuple[int, int, int]]:
+        for start in range(0, max(len(raw) - window + 1, 1), limit):
+            yield start, min(len(raw), start + limit + window - 1), start
+
+    return cut
+
+
+def word_parts(window: int) -> Callable:
+    """Parts of a long text that share window - 1 words."""
+
+    def cut(raw: np.ndarray, limit: int) -> Iterator[tuple[int, int, int]]:
+        start = base = 0
+        while True:
+            size = limit
+            while True:
+                end = min(len(raw), start + size)
+                begin, stop = word_bounds(raw[start:end])
+                # The last word may go on after the part.
+                whole = len(begin) - (1 if end < len(raw) and len(stop) and stop[-1] == end - start else 0)
+                if end == len(raw) or whole > window:
+                    break
+                size *= 2
+            if end == len(raw):
+                yield start, end, base
+                return
+            yield start, start + int(stop[whole - 1]), base
+            base += whole - window + 1
+            start += int(begin[whole - window + 1])
+
+    return cut
+
+
 def whole_windows(bounds: np.ndarray, total: int, window: int) -> np.ndarray:
     """Starts of the windows that lie in one document, for documents cut at ``bounds`` (n+1 offsets)."""
     ok = np.zeros(max(total - window + 1, 0) + 1, np.int32)
@@ -93,7 +128,7 @@ class Sketch:
         return out
 
 
-def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int, batch_bytes: int) -> Sketch:
+def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int, batch_bytes: int, cut: Callable) -> Sketch:
     """Count the anchors of all texts; ``anchors(raw, offsets)`` gives the hashes of a batch's anchor occurrences."""
     chunk = min(width, 1 << 22)
 
@@ -119,8 +154,8 @@ def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np
                         made[2].append(pack_sorted(values[cut[c] : cut[c + 1]] - np.uint32(c * chunk)))
             yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.int32()), pa.array(made[1], pa.int32()), pa.array(made[2], pa.binary())], ["part", "kind", "cells"])
 
-        for batch in gathered(batches, batch_bytes):
-            got = anchors(*text_buffer(batch.column("text")))
+        for raw, at, *_ in parts(batches, batch_bytes, cut):
+            got = anchors(raw, at)
             if len(got):
                 held.append(got)
                 size += len(got)
@@ -196,7 +231,7 @@ def covered(spans: list[bytes] | None, n: int) -> np.ndarray:
         pairs = np.frombuffer(data, "<i4").reshape(-1, 2)
         np.add.at(edge, pairs[:, 0], 1)
         np.add.at(edge, pairs[:, 1], -1)
-    return np.cumsum(edge)[:n] > 0
+    return np.cumsum(edge, dtype=np.int32)[:n] > 0
 
 
 def apply_marks(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str, names: list[str], types: list[pa.DataType]) -> DataFrame:

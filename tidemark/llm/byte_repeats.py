@@ -23,8 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
-from tidemark.llm.common import RollingHash, fmix64, gathered, text_buffer
+from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, byte_parts, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
+from tidemark.llm.common import RollingHash, fmix64, parts
 
 BATCH = 3 << 18
 FLUSH = 16 << 20
@@ -117,14 +117,14 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
     docs = keyed(docs)
     chars = docs.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0].n or 0
     density = 2 / (window - gram + 2)
-    sketch = build_sketch(docs, lambda raw, at: Strings(raw, at, window, gram).occurrences(), sketch_width(chars, density), BATCH)
+    sketch = build_sketch(docs, lambda raw, at: Strings(raw, at, window, gram).occurrences(), sketch_width(chars, density), BATCH, byte_parts(window))
     held = docs.sparkSession.sparkContext.broadcast(sketch)  # bounded by anchors.MAX_CELLS
     buckets = max(64, chars // bucket_chars)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Stretches(window, buckets)
-        for batch in gathered(batches, BATCH):
-            s = Strings(*text_buffer(batch.column("text")), window, gram)
+        for raw, at, row, base, batch in parts(batches, BATCH, byte_parts(window)):
+            s = Strings(raw, at, window, gram)
             if not len(s.starts):
                 continue
             new = np.concatenate(([True], np.diff(s.at) != 0))
@@ -135,7 +135,7 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
                 continue
             ids, ties = batch.column("doc_key").to_numpy(), batch.column("tie").to_numpy()
             doc_of = np.searchsorted(s.bounds, starts, "right") - 1
-            doc, tie, pos = ids[doc_of], ties[doc_of], starts - s.bounds[doc_of]
+            doc, tie, pos = ids[row[doc_of]], ties[row[doc_of]], starts - s.bounds[doc_of] + base[doc_of]
             first = _FIRST.spans(s.prefix, starts, starts + window)
             second = _SECOND.spans(_SECOND.prefix(_OTHER[s.raw]), starts, starts + window)
             gone = doc > smallest(*equal_groups(first, second), doc)
@@ -152,15 +152,15 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
         yield from out.flush()
 
     def meet(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        held_ = []
         for batch in group:
             passed = pa.compute.is_valid(batch.column("doc_key"))
             done = batch.filter(passed)
             if done.num_rows:
                 yield pa.RecordBatch.from_arrays([done.column("doc_key"), done.column("tie"), done.column("data")], ["doc_key", "tie", "spans"])
-            parts += [unpack(x, window) for x in batch.filter(pa.compute.invert(passed)).column("data").to_pylist()]
-        if parts:
-            doc, tie, pos, count, raw = (np.concatenate(x) for x in zip(*parts, strict=True))
+            held_ += [unpack(x, window) for x in batch.filter(pa.compute.invert(passed)).column("data").to_pylist()]
+        if held_:
+            doc, tie, pos, count, raw = (np.concatenate(x) for x in zip(*held_, strict=True))
             count = count.astype(np.int64)
             length = count + window - 1
             begin = np.cumsum(length) - length

@@ -107,14 +107,15 @@ class RollingHash:
 
 def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte offsets of the words in a uint8 buffer."""
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])))
+    space = np.ones(len(raw) + 2, np.int8)
+    np.logical_or(raw == 32, (raw >= 9) & (raw <= 13), out=space[1:-1], casting="unsafe")
+    edge = np.diff(space)
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column in one uint8 buffer, and the n+1 offsets; null is empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """UTF-8 bytes of a text column in one uint8 buffer, and the n+1 offsets; null is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -146,3 +147,25 @@ def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
             size += n
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def parts(batches: Iterator[pa.RecordBatch], limit: int, cut: Callable[[np.ndarray, int], Iterator[tuple[int, int, int]]]) -> Iterator[tuple]:
+    """(raw, offsets, row, base, batch) of batches of about ``limit`` bytes, with longer texts in overlapping parts.
+
+    ``cut(raw, limit)`` gives (start, end, base) of the parts of one text; base is the place of the part's first symbol in it.
+    """
+    for batch in gathered(batches, limit):
+        raw, at = text_buffer(batch.column("text"))
+        size = np.diff(at)
+        long = np.flatnonzero(size > limit)
+        if not len(long):
+            yield raw, at, np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), batch
+            continue
+        for i in long.tolist():
+            mine = raw[at[i] : at[i + 1]]
+            for start, end, base in cut(mine, limit):
+                yield mine[start:end], np.array([0, end - start]), np.array([i]), np.array([base]), batch
+        rest = np.flatnonzero(size <= limit)
+        if len(rest):
+            kept = batch.column("text").take(pa.array(rest))
+            yield *text_buffer(kept), rest, np.zeros(len(rest), np.int64), batch

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
-from tidemark.llm.common import RollingHash, fmix64, gathered, text_buffer, word_bounds
+from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows, word_parts
+from tidemark.llm.common import RollingHash, fmix64, parts, word_bounds
 
 BATCH = 1 << 20
 _TABLE = fmix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -68,14 +68,14 @@ def repeated_windows(docs: DataFrame, window: int = 35, gram: int = 18, bucket_c
     docs = keyed(docs)
     chars = docs.agg(F.sum(F.length("text")).alias("n")).collect()[0].n or 0
     sketch = build_sketch(
-        docs, lambda raw, at: Windows(raw, at, window, gram).occurrences(), sketch_width(chars // 5, 2 / (window - gram + 2)), BATCH
+        docs, lambda raw, at: Windows(raw, at, window, gram).occurrences(), sketch_width(chars // 5, 2 / (window - gram + 2)), BATCH, word_parts(window)
     )
     held = docs.sparkSession.sparkContext.broadcast(sketch)  # bounded by anchors.MAX_CELLS
     buckets = max(64, chars // bucket_chars)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, BATCH):
-            w = Windows(*text_buffer(batch.column("text")), window, gram)
+        for raw, at, row, base, batch in parts(batches, BATCH, word_parts(window)):
+            w = Windows(raw, at, window, gram)
             if not len(w.starts):
                 continue
             anchor = w.grams[w.at]
@@ -84,9 +84,9 @@ def repeated_windows(docs: DataFrame, window: int = 35, gram: int = 18, bucket_c
             if not len(starts):
                 continue
             doc_of = np.searchsorted(w.bounds, starts, "right") - 1
-            doc = batch.column("doc_key").to_numpy()[doc_of]
-            tie = batch.column("tie").to_numpy()[doc_of]
-            pos = starts - w.bounds[doc_of]
+            doc = batch.column("doc_key").to_numpy()[row[doc_of]]
+            tie = batch.column("tie").to_numpy()[row[doc_of]]
+            pos = starts - w.bounds[doc_of] + base[doc_of]
             hashes = _WINDOWS.spans(_WINDOWS.prefix(w.words), starts, starts + window)
             order, groups = equal_groups(hashes, anchor)
             size = np.diff(np.concatenate((groups, [len(order)])))
@@ -111,15 +111,15 @@ def repeated_windows(docs: DataFrame, window: int = 35, gram: int = 18, bucket_c
             )
 
     def meet(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        held_ = []
         for batch in group:
             passed = pa.compute.is_valid(batch.column("doc_key"))
             done = batch.filter(passed)
             if done.num_rows:
                 yield pa.RecordBatch.from_arrays([done.column("doc_key"), done.column("tie"), done.column("data")], ["doc_key", "tie", "spans"])
-            parts += [unpack(x) for x in batch.filter(pa.compute.invert(passed)).column("data").to_pylist()]
-        if parts:
-            anchor, hashes, doc, tie, pos, many = (np.concatenate(x) for x in zip(*parts, strict=True))
+            held_ += [unpack(x) for x in batch.filter(pa.compute.invert(passed)).column("data").to_pylist()]
+        if held_:
+            anchor, hashes, doc, tie, pos, many = (np.concatenate(x) for x in zip(*held_, strict=True))
             order, groups = equal_groups(hashes, anchor)
             size = np.diff(np.concatenate((groups, [len(order)])))
             hit = np.zeros(len(order), bool)
