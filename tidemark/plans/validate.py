@@ -12,7 +12,7 @@ from tidemark.functions import parsing
 from tidemark.operators import compare
 from tidemark.operators import sequence as seq
 from tidemark.plans.findings import Finding, Report, advise, deduped, fix, hard, info, loss
-from tidemark.plans.profile import Profile
+from tidemark.plans.profile import FLOAT_ONLY, Profile
 from tidemark.sources import intake, recordings
 
 _NAME = re.compile(parsing.COLUMN_NAME)
@@ -165,7 +165,7 @@ def check_frame(df: DataFrame, profile: Profile, window: int | None, sp: bool |
             short = seq.session_below(ready, window).collect()
         found += [loss("session_below_window", f"Session '{r.session}' has {r.rows} rows, under the window {window}.", session=r.session, rows=r.rows) for r in short]
     found += check_rate(ready, profile, on)
-    if profile.target_technology == "axon":
+    if profile.target_technology == FLOAT_ONLY:
         kind = "FLOAT32"
     else:
         sensors = [f"__v_{c}" for c in profile.sensor_columns if c in names]
