@@ -19,8 +19,8 @@ from tidemark.session import work_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep what has a language: not ``und``, and predicted with a score of 0.4 or more."""
-    return language_id.accept(docs, language_id.train(docs), least=0.4)
+    """Keep what has a language: not ``und``, and scored 1.2 times an even split over the languages or more."""
+    return language_id.accept(docs, language_id.train(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

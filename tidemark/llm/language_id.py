@@ -208,8 +208,9 @@ def identify(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
     return narrow.mapInArrow(run, ordered)
 
 
-def accept(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
-    """``docs``, all columns, without what is ``und`` or predicted with a score under ``least``."""
+def accept(docs: DataFrame, model: Model, over_chance: float = 1.2) -> DataFrame:
+    """``docs``, all columns, without what is ``und`` or scored under ``over_chance`` times an even split over the languages."""
+    least = over_chance / max(len(model.classes), 2)
     model_b = docs.sparkSession.sparkContext.broadcast(model)
     if "text" not in docs.columns:
         raise ValueError("documents need a text")
