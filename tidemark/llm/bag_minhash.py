@@ -147,47 +147,47 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_key long, tie long, node binary, bands array<long>, sketch binary")
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose sketches agree in at least that share of registers."""
-    sketch = nodes.select("node", "sketch")
-    both = pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "x"}), "a").join(sketch.withColumnsRenamed({"node": "b", "sketch": "y"}), "b")
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
+    """Pairs (a, b) whose sketches agree in ``threshold - margin`` of the registers and whose texts have that multiset overlap.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in "xy")
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
-
-
-def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float, name: str) -> DataFrame:
-    """Pairs (a, b) whose texts have at least that multiset overlap. ``b`` may be in very many pairs: its text is dealt out salted."""
-    pairs = materialise(pairs, f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(wanted, "node", "left_semi").select("node", "doc_key", "tie")
-    texts = docs.join(wanted, ["doc_key", "tie"]).select("node", "text").dropDuplicates(["node"])
-    texts = materialise(texts, f"{name}-texts")
+    ``b`` may be in very many pairs: it is dealt out salted.
+    """
+    pairs = materialise(pairs, "star-pairs")
     salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / 64).cast("int").alias("salts"))
-    far = texts.withColumnsRenamed({"node": "b", "text": "y"}).join(salts, "b")
-    far = far.select("b", "y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    near = pairs.join(salts, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
-    near = near.join(texts.withColumnsRenamed({"node": "a", "text": "x"}), "a").select("a", "x", "b", "salt")
+    far = texts.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("text").alias("tb")).join(salts, "b")
+    far = far.select("b", "sb", "tb", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    near = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
+    near = near.join(texts.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("text").alias("ta")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bag = functools.lru_cache(64)(bag_of)
         for batch in batches:
-            ok = [likeness(bag_of(x), bag(y)) >= threshold for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+            alike = np.flatnonzero((x == y).mean(1) >= threshold - margin)
+            some = batch.take(pa.array(alike))
+            ok = [likeness(bag_of(x), bag(y)) >= threshold for x, y in zip(some.column("ta").to_pylist(), some.column("tb").to_pylist(), strict=True)]
+            yield some.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    both = near.join(far, ["b", "salt"]).select("a", "b", "sa", "sb", "ta", "tb")
+    return materialise(both.mapInArrow(run, "a binary, b binary"), "star-links")
+
 
-    both = near.join(far, ["b", "salt"]).select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(run, "a binary, b binary"), f"{name}-links")
+def first_labels(links: DataFrame) -> DataFrame:
+    """(node, label): each linked node's leader, followed twice. Equal labels are connected; connected nodes may still differ."""
+    up = materialise(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "leaders")
+    now = up
+    for _ in range(2):
+        step = up.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        now = now.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    return now
 
 
-def across(met: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
-    """Links (a, b) between components that still share a bucket.
+def across(met: DataFrame, label: DataFrame, texts: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
+    """Links (a, b) between nodes of different labels that share a bucket.
 
-    Members of the smaller components of a bucket are held against all others of it in square tiles, so no task has more than two
+    Members of the smaller labels of a bucket are held against all others of it in square tiles, so no task has more than two
     blocks of ``TILE`` documents, and only links leave it. A pair is looked at in the first band that it shares, if its sketches agree
     in ``threshold - margin`` of the registers (3.4 deviations), and verified exactly unless the tile already joined its components.
     """
@@ -197,15 +197,11 @@ def across(met: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame,
     blocks = lambda n: F.ceil(n / TILE).cast("int")
     mixed = mixed.filter("labels > 1").select("band", "hash", F.col("main.label").alias("main"), blocks(F.col("all")).alias("nb"), blocks(F.col("all") - F.col("main.n")).alias("mb"))
     known = materialise(known.join(mixed, ["band", "hash"]), "mixed")
-    wanted = known.select("node").distinct()
-    part = nodes.join(wanted, "node", "left_semi")
-    texts = docs.join(part.select("node", "doc_key", "tie"), ["doc_key", "tie"]).select("node", "text").dropDuplicates(["node"])
-    part = materialise(part.select("node", "bands", "sketch").join(texts, "node"), "mixed-texts")
     at = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     small = known.filter(F.col("label") != F.col("main")).select("band", "hash", "node", "label", at(F.col("mb")).alias("i"), each(F.col("nb")).alias("j"), F.lit(True).alias("minor"), "main")
     whole = known.select("band", "hash", "node", "label", each(F.col("mb")).alias("i"), at(F.col("nb")).alias("j"), F.lit(False).alias("minor"), "main")
-    rows = small.unionByName(whole).join(part, "node")
+    rows = small.unionByName(whole).join(texts, "node")
 
     def tile(key: tuple, group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -247,17 +243,19 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 25, rows:
     signed = materialise(sign(docs, bands, rows), "signatures")
     nodes = signed.groupBy("node").agg(F.min_by(F.struct("doc_key", "tie", "bands", "sketch"), F.struct("doc_key", "tie")).alias("r")).select("node", "r.*")
     nodes = materialise(nodes, "nodes")
-    rows_ = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    size = rows_.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
-    met = materialise(rows_.join(size, ["band", "hash"]), "met")
+    places = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
+    size = places.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
+    met = materialise(places.join(size, ["band", "hash"]), "met")
     degree = met.groupBy("node").agg(F.sum("n").alias("degree"))
-    met = materialise(met.join(degree, "node"), "met-degree")
-    leader = met.groupBy("band", "hash").agg(F.max(F.struct("degree", "node")).getField("node").alias("b"))
+    # Texts of the nodes that share a bucket; the rest is done with.
+    texts = docs.join(nodes.join(degree, "node"), ["doc_key", "tie"]).select("node", "degree", "bands", "sketch", "text").dropDuplicates(["node"])
+    texts = materialise(texts, "met-texts")
+    leader = met.join(texts.select("node", "degree"), "node").groupBy("band", "hash").agg(F.max(F.struct("degree", "node")).getField("node").alias("b"))
     star = met.join(leader, ["band", "hash"]).filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
-    links = verify(plausible(star, nodes, threshold - 0.12), docs, nodes, threshold, "star")
+    texts = texts.drop("degree")
+    links = verify(star, texts, threshold)
+    links = links.union(across(met, first_labels(links), texts, threshold))
     label = materialise(components(links), "labels")
-    more = across(met, label, nodes, docs, threshold)
-    label = components(links.union(more)) if more.limit(1).count() else label
     of = nodes.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.struct("doc_key", "tie").alias("r"))
     least = of.groupBy("label").agg(F.min("r").alias("r"))
     of = of.select("node", "label").join(least, "label").select("node", F.col("r.doc_key").alias("class_key"), F.col("r.tie").alias("class_tie"))

@@ -20,7 +20,7 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     for _ in range(limit):
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(low, F.col("a") == F.col("u")).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, F.col("a") == F.col("u")).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low.withColumnRenamed("a", "u"), F.col("a") == F.col("u")).filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialise(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
