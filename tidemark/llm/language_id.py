@@ -67,8 +67,11 @@ class Model:
         self.classes, self.idf, self.weights, self.bias, self.temperature = classes, idf, weights, bias, temperature
 
     def features(self, raw: np.ndarray) -> np.ndarray:
-        x = np.log1p(raw) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        """Unit TF-IDF rows, in the place of the counts."""
+        np.log1p(raw, out=raw)
+        raw *= self.idf
+        raw /= np.maximum(np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None], 1e-9)
+        return raw
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -87,17 +90,17 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def ftrl(x: np.ndarray, y: np.ndarray, k: int, alpha=1.0, beta=1.0, l1=0.02, l2=0.01, epochs=6, batch=32) -> tuple[np.ndarray, np.ndarray]:
-    """Follow-the-regularised-leader (proximal) with elastic-net penalties on minibatches; the last row is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    z, n = np.zeros((x.shape[1], k)), np.zeros((x.shape[1], k))
+def ftrl(x: np.ndarray, y: np.ndarray, use: np.ndarray, k: int, alpha=1.0, beta=1.0, l1=0.02, l2=0.01, epochs=6, batch=32) -> tuple[np.ndarray, np.ndarray]:
+    """Follow-the-regularised-leader (proximal) with elastic-net penalties on minibatches of the rows ``use``; the last row is the bias."""
+    z, n = np.zeros((x.shape[1] + 1, k)), np.zeros((x.shape[1] + 1, k))
     w = np.zeros_like(z)
     rng = np.random.default_rng(5)
     for _ in range(epochs):
-        for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // batch)):
-            p = softmax(x[rows] @ w)
+        for rows in np.array_split(use[rng.permutation(len(use))], max(1, len(use) // batch)):
+            part = np.hstack([x[rows], np.ones((len(rows), 1), np.float32)])
+            p = softmax(part @ w)
             p[np.arange(len(rows)), y[rows]] -= 1
-            g = x[rows].T @ p / len(rows)
+            g = part.T @ p / len(rows)
             z += g - (np.sqrt(n + g * g) - np.sqrt(n)) / alpha * w
             n += g * g
             w = np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
@@ -119,7 +122,7 @@ def fold() -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def train(docs: DataFrame, per_class: int = 600, folds: tuple[int, ...] = (0, 1, 3)) -> Model:
+def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1, 3)) -> Model:
     """Fit on ``docs`` (doc_id, text, lang) of the given folds; ``per_class`` bounds the labelled rows the driver gets."""
     spark = docs.sparkSession
     rank = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40))
@@ -177,17 +180,17 @@ def train(docs: DataFrame, per_class: int = 600, folds: tuple[int, ...] = (0, 1,
     if not classes:
         return model
     y = np.array([i for i, c in enumerate(classes) for _ in sample[c]])
-    raw = np.zeros((len(y), WIDTH), np.float32)
-    for row, x in zip(raw, [x for c in classes for x in sample[c]], strict=True):
-        k = len(x) // 6
-        row[np.frombuffer(x[: 2 * k], "<u2")] = np.frombuffer(x[2 * k :], "<f4")
-    x = model.features(raw)
+    x = np.zeros((len(y), WIDTH), np.float32)
+    for row, packed in zip(x, [p for c in classes for p in sample[c]], strict=True):
+        k = len(packed) // 6
+        row[np.frombuffer(packed[: 2 * k], "<u2")] = np.frombuffer(packed[2 * k :], "<f4")
+    sample.clear()
+    x = model.features(x)
     aside = np.arange(len(y)) % 5 == 4
-    if aside.any() and not aside.all():
-        model.weights, model.bias = ftrl(x[~aside], y[~aside], len(classes))
+    fit = np.flatnonzero(~aside) if aside.any() else np.arange(len(y))
+    model.weights, model.bias = ftrl(x, y, fit, len(classes))
+    if aside.any():
         model.temperature = temperature(x[aside] @ model.weights + model.bias, y[aside])
-    else:
-        model.weights, model.bias = ftrl(x, y, len(classes))
     return model
 
 
