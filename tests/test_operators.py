@@ -8,6 +8,7 @@ from tidemark.functions import features as bank
 from tidemark.functions import parsing
 from tidemark.operators import events, labels, postprocess, resample
 from tidemark.operators import sequence as seq
+from tidemark.plans import catalogue
 
 
 def recording(spark, values, session="a"):
@@ -104,6 +105,18 @@ def gesture(peaks, n, seed):
     return z
 
 
+def test_envelope_query_is_whole(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {(r.label, r.pos): r.env for r in catalogue.QUERIES["envelope"](spark, sf).collect()}
+    want = {}
+    for label in range(4):
+        x = np.array([r.x for r in catalogue._signal(spark, sf).filter(f"label = {label}").orderBy("pos").collect()])
+        sw = np.lib.stride_tricks.sliding_window_view(x - x.mean(), 19)
+        want |= {(label, i): e for i, e in enumerate(np.sqrt(sw.min(1) ** 2 + sw.max(1) ** 2))}
+    assert max(p for _, p in got) >= 500
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
+
+
 def brute_centers(x, w):
     ww = max(1, int(w * 0.95))
     c = x - x.mean()

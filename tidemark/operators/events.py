@@ -21,7 +21,9 @@ def envelope(df: DataFrame, group: list[str], window: int, script_length: bool =
     """Root of squared rolling minimum plus maximum of the mean-free signal, for full frames. Adds c (mean-free), env."""
     w = work_window(window)
     whole, frame = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("pos").rowsBetween(0, w - 1)
-    df = df.withColumn("c", F.col("x") - F.avg("x").over(whole))
+    # Twice, as one pass over a long run leaves a mean off by 1e-9.
+    for name in ("x", "c"):
+        df = df.withColumn("c", F.col(name) - F.avg(name).over(whole))
     env = F.sqrt(F.pow(F.min("c").over(frame), F.lit(2.0)) + F.pow(F.max("c").over(frame), F.lit(2.0)))
     frames = F.col("n") - w + (0 if script_length else 1)
     return df.withColumn("env", F.when((F.col("pos") < frames) & (F.col("n") > w), env)).withColumn("frames", frames)

@@ -588,9 +588,9 @@ si as (select *, sum(ch) over (partition by label order by pos) as sid from sc),
 sgm as (select label, min(pos)+1+9 as start_, case when max(pos)+1<any_value(n)-18 then max(pos)+2 else any_value(n)-18 end+9 as end_ from si where o group by label, sid)""".replace("min(c) over w**2", "(min(c) over w)**2").replace("max(c) over w**2", "(max(c) over w)**2")
 
 
-@query(f"with {_ENV} select label, pos, {R('env')} as env from en where env is not null and pos<500")
+@query(f"with {_ENV} select label, pos, {R('env')} as env from en where env is not null")
 def envelope(spark, sf):
-    return events.envelope(_signal(spark, sf), ["label"], 20).filter("env is not null and pos < 500").select("label", "pos", "env")
+    return events.envelope(_signal(spark, sf), ["label"], 20).filter("env is not null").select("label", "pos", "env")
 
 
 @query(f"with {_ENV} select label, start_::bigint as \"start\", end_::bigint as \"end\" from sgm")
