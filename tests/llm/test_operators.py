@@ -332,6 +332,41 @@ def test_slots_must_agree(spark):
     assert [got[i][0].contaminated for i in (1, 2)] == [True, False]
 
 
+WORDS60 = "the old miller carried flour along a narrow path beside that quiet river until evening came and then rested under tall trees while his dog slept near warm stones before both walked home through fields where young farmers sang songs about rain harvest bread cheese winter snow spring lambs summer grass autumn leaves plus one more tale told slowly aloud".split()
+
+
+def held(spark, item, *texts):
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = by_id(decontaminate.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench))
+    return [got[i][0].contaminated for i in range(len(texts))]
+
+
+def test_copies_with_inserted_and_deleted_words(spark):
+    words = WORDS60[:60]
+    assert len(set(words)) > 50
+    more = [w for i, x in enumerate(words) for w in ([x, "indeed"] if i % 15 == 14 else [x])]
+    less = [x for i, x in enumerate(words) if i % 15 != 14]
+    assert held(spark, " ".join(words), " ".join(more), " ".join(less), " ".join(words[:20])) == [True, True, False]
+
+
+def test_two_word_name_moves_the_rest(spark):
+    item = "yesterday the girl called Alice bought 3 loaves at the market and then Alice gave 2 loaves back to the baker because they were stale and dry"
+    other = item.replace("Alice", "Mary Ann").replace("3", "7").replace("2", "5")
+    assert held(spark, item, other) == [True]
+
+
+def test_each_alignment_is_judged(spark):
+    item = "add 3 pears to 4 plums and then give 3 pears back to the farmer who grew 4 plums"
+    bad = item.replace("3", "8", 1)
+    assert held(spark, item, f"{item}. so it was said. {bad}", f"{bad}. so it was said. {item}", bad) == [True, True, False]
+
+
+def test_slots_outside_of_matched_windows_do_not_count(spark):
+    head = "a farmer has 3 brown cows and 4 white goats in the small barn behind the mill"
+    item = head + " every day 3 of them"
+    assert held(spark, item, head + " but often 9 of us")[0]
+
+
 def test_water_filling():
     t = mixing.water_fill([("a", 100), ("b", 10), (None, 50)], [3, 1, 2], 240, 2)
     assert t == {"a": pytest.approx(132), "b": 20.0, None: pytest.approx(88)}

@@ -1,13 +1,18 @@
 """Benchmark decontamination by template canonicalisation; DataFrame and SQL functions only.
 
-Texts are cut into lower-cased tokens. Numbers, units after a number, and capitalised words inside a sentence become the typed
-placeholders <num>, <unit> and <name>, so a question asked again with other numbers or names has the same template. Windows of
-``window`` template tokens are hashed and the documents' windows hash-joined to those of the benchmark. A document holds an item if
-``coverage`` of the item's windows occur in it in one alignment and the slots agree: in that alignment every value of a slot in
-the item stands for one value in the document, and the other way round.
+Texts are cut into lower-cased tokens. Numbers, units after a number, and capitalised words become the typed placeholders <num>, <unit>
+and <name>, so a question asked again with other numbers or names has the same template. A capitalised word that opens a sentence, line
+or text may be a name or not: the strict template keeps it, the loose one makes it a <name> too, and either may match.
+
+Windows of ``window`` template tokens are hashed and the documents' windows hash-joined to those of the benchmark. Windows of one
+alignment that cover tokens without a gap are a run. A run counts if its slots agree: every value of a slot in the item stands for one
+value in the document, and the other way round. A document holds an item if ``coverage`` of the item's windows occur in runs that agree
+with each other, wherever they stand, so inserted or deleted words only cost the windows that hold them. From each run as the first,
+others are added longest first while they agree; all verbatim runs together are one more choice.
 
 Items with fewer tokens than a window are matched by windows of their own length, down to ``least`` tokens; shorter items can't be told
-from chance and never match. A window needs ``literal`` tokens that aren't placeholders (all of them in items shorter than that).
+from chance and never match. A window needs ``literal`` tokens that aren't placeholders (all of them in items shorter than that); one that
+has fewer only in the loose template keeps its opening words there.
 
 The benchmark's windows are broadcast only if there are at most ``broadcast_rows`` of them (about 40 bytes each); beyond that the
 join shuffles, after equal windows of a document have been merged.
@@ -20,19 +25,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 
 UNITS = "mm|cm|km|m|mg|g|kg|lb|lbs|oz|ml|l|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|dollars?|euros?|cents?|percent|inch|inches|ft|feet|miles?|meters?|metres?|degrees?|°c|°f|%|\\$|€|£"
-_NAME, _UNIT = "\u0002", "\u0003"
-_BREAK = "[^\\p{L}\\p{N}\u0002\u0003%$€£°]+"
+_NAME, _UNIT, _FIRST = "\u0002", "\u0003", "\u0004"
+_BREAK = "[^\\p{L}\\p{N}\u0002\u0003\u0004%$€£°]+"
+_OPENS = 1
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased tokens; names and units carry a leading mark."""
-    text = F.regexp_replace(text, "[\u0002\u0003]", " ")
+    """Lower-cased tokens; names, units and other capitalised words carry a leading mark."""
+    text = F.regexp_replace(text, "[\u0002\u0003\u0004]", " ")
     text = F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
     text = F.regexp_replace(text, rf"(?i)(?<=\d)[\x20-]?({UNITS})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
     text = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu}\p{Ll})", _NAME)
@@ -40,31 +46,50 @@ def tokens(text: Column) -> Column:
 
 
 def template(t: Column) -> Column:
-    """Code of a token in a template: 1 number, 2 name, 3 unit, else a hash of the token."""
+    """Code of a token: 2 number, 4 name, 6 unit, else an even hash of the token, plus one if it is an opening word."""
     first = F.left(t, F.lit(1))
+    even = lambda x: F.xxhash64(x).bitwiseAND(F.lit(~_OPENS))
     return (
-        F.when(first == _NAME, F.lit(2).cast("long"))
-        .when(first == _UNIT, F.lit(3).cast("long"))
-        .when(first.between("0", "9"), F.lit(1).cast("long"))
-        .otherwise(F.xxhash64(t))
+        F.when(first == _NAME, F.lit(4).cast("long"))
+        .when(first == _UNIT, F.lit(6).cast("long"))
+        .when(first == _FIRST, even(F.substring(t, 2, 1 << 30)) + _OPENS)
+        .when(first.between("0", "9"), F.lit(2).cast("long"))
+        .otherwise(even(t))
     )
 
 
+def _strict(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(~_OPENS))
+
+
+def _loose(code: Column) -> Column:
+    return F.when(code.bitwiseAND(F.lit(_OPENS)) == _OPENS, F.lit(4).cast("long")).otherwise(code)
+
+
+def _placeholder(code: Column) -> Column:
+    return code.between(1, 6)
+
+
 def _rows(df: DataFrame, *keys: str) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     made = df.select(*keys, tokens(text).alias("raw"))
-    return made.select(*keys, "raw", F.transform("raw", template).alias("code"))
+    plain = F.transform("raw", lambda t: F.translate(t, _NAME + _UNIT + _FIRST, ""))
+    return made.select(*keys, plain.alias("raw"), F.transform("raw", template).alias("code"))
 
 
 def _windows(rows: DataFrame, size: int, literal: int, *keys: str) -> DataFrame:
-    """One row a window: keys, pos, hash."""
+    """One row a window: keys, pos, and its hash in the strict and the loose template; the latter is null below ``literal`` tokens."""
     need = min(literal, size)
     at = rows.filter(F.size("code") >= size).select(*keys, "code", F.posexplode("code").alias("pos", "head"))
-    part = ["head", *[F.get("code", F.col("pos") + i) for i in range(1, size)]]
-    part = [F.col(p) if isinstance(p, str) else p for p in part]
-    plain = reduce(lambda a, b: a + b, [F.when(p.between(1, 3), 0).otherwise(1) for p in part])
+    part = [F.col("head"), *[F.get("code", F.col("pos") + i) for i in range(1, size)]]
+
+    def hashed(codes: list[Column]) -> Column:
+        plain = reduce(lambda a, b: a + b, [F.when(_placeholder(p), 0).otherwise(1) for p in codes])
+        return F.when(plain >= need, F.xxhash64(*codes, F.lit(size)))
+
     whole = at.filter(F.col("pos") + size <= F.size("code"))
-    return whole.filter(plain >= need).select(*keys, "pos", F.xxhash64(*part, F.lit(size)).alias("hash"))
+    whole = whole.select(*keys, "pos", hashed([_strict(p) for p in part]).alias("strict"), hashed([_loose(p) for p in part]).alias("loose"))
+    return whole.filter("strict is not null")
 
 
 def matches(
@@ -79,48 +104,92 @@ def matches(
     n = F.size("code")
     items = items.filter(n >= least).withColumn("size", F.least(n, F.lit(window)))
     sizes = sorted(r.size for r in items.select("size").distinct().collect())  # at most window values
-    made = [
-        _windows(items.filter(F.col("size") == s), s, literal, "item_id").select("item_id", F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"))
-        for s in sizes
-    ]
-    schema = "item_id long, item_pos int, item_hash long"
+    made = [_windows(items.filter(F.col("size") == s), s, literal, "item_id") for s in sizes]
     spark = docs.sparkSession
-    wanted = materialise(reduce(DataFrame.union, made) if made else spark.createDataFrame([], schema), "benchmark-windows")
-    total = wanted.groupBy("item_id").agg(F.count("*").alias("total"))
+    made = reduce(DataFrame.union, made) if made else spark.createDataFrame([], "item_id long, pos int, strict long, loose long")
+    loose = F.coalesce("loose", "strict")
+    one = lambda h, a, b: F.struct(h.alias("item_hash"), F.lit(a).alias("in_strict"), F.lit(b).alias("in_loose"))
+    both = F.when(loose == F.col("strict"), F.array(one(loose, True, True))).otherwise(F.array(one(F.col("strict"), True, False), one(loose, False, True)))
+    wanted = materialise(made.select("item_id", F.col("pos").alias("item_pos"), F.explode(both).alias("w")).select("item_id", "item_pos", "w.*"), "benchmark-windows")
+    total = wanted.groupBy("item_id").agg(F.count_distinct("item_pos").alias("total"))
     count = wanted.count()
     rows = _rows(docs, "doc_id", "tie")
     found = [_windows(rows, s, literal, "doc_id", "tie") for s in sizes]
-    found = reduce(DataFrame.union, found) if found else spark.createDataFrame([], "doc_id long, tie long, pos int, hash long")
+    found = reduce(DataFrame.union, found) if found else spark.createDataFrame([], "doc_id long, tie long, pos int, strict long, loose long")
+    # Windows without an opening word have one hash in both templates.
+    found = found.select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array("strict", "loose"))).alias("hash"))
     if count <= broadcast_rows:
         hits = found.join(F.broadcast(wanted), F.col("hash") == F.col("item_hash"))
     else:
         hits = found.join(wanted.hint("shuffle_hash"), F.col("hash") == F.col("item_hash"))
-    # An alignment is the offset between the two texts; the best one of each document and item counts.
-    hits = hits.select("doc_id", "tie", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
-    lined = hits.groupBy("doc_id", "tie", "item_id", "shift").agg(F.count("*").alias("n"))
-    best = lined.groupBy("doc_id", "tie", "item_id").agg(F.max(F.struct("n", "shift")).alias("best"), F.sum("n").alias("all"))
-    best = best.join(total, "item_id").filter(F.col("best.n") >= F.greatest(F.lit(1.0), F.col("total") * coverage))
-    best = best.select("doc_id", "tie", "item_id", F.col("best.shift").alias("shift"), (F.col("best.n") / F.col("total")).alias("share"))
-    best = materialise(best, "decontaminate-best")
-    held = best.select("doc_id", "tie").distinct()
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tie"] == b["tie"])
+    hit = F.struct((F.col("pos") - F.col("item_pos")).alias("shift"), F.col("item_pos").alias("at"), "in_strict", "in_loose")
+    pairs = hits.groupBy("doc_id", "tie", "item_id").agg(F.collect_set(hit).alias("hits"))
+    # Windows of all alignments together are the most that can agree.
+    pairs = pairs.join(total.join(items.select("item_id", "size").distinct(), "item_id"), "item_id")
+    pairs = pairs.filter(F.size(F.array_distinct("hits.at")) >= F.greatest(F.lit(1.0), F.col("total") * coverage))
+    pairs = materialise(pairs, "decontaminate-pairs")
+    held = pairs.select("doc_id", "tie").distinct()
     docs = docs.join(held.withColumnsRenamed({"doc_id": "h_id", "tie": "h_tie"}), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie")), "left_semi")
     raw = _rows(docs.dropDuplicates(["doc_id", "tie"]), "doc_id", "tie").withColumnsRenamed({"doc_id": "d_id", "tie": "d_tie", "raw": "d_raw", "code": "d_code"})
-    pairs = best.join(raw, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tie") == F.col("d_tie")))
+    pairs = _runs(pairs).join(raw, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tie") == F.col("d_tie")))
     pairs = pairs.join(items.select("item_id", "raw", "code"), "item_id")
-    # Slots where both templates agree, as (kind, item's value, document's value).
-    slots = F.transform(
-        F.col("code"),
-        lambda c, i: F.when(
-            c.between(1, 3) & (F.col("shift") + i >= 0) & (F.get("d_code", F.col("shift") + i) == c),
-            F.struct(c.alias("kind"), F.get("raw", i).alias("here"), F.get("d_raw", F.col("shift") + i).alias("there")),
-        ),
-    )
-    slots = F.array_distinct(F.filter(slots, lambda x: x.isNotNull()))
-    pairs = pairs.select("doc_id", "tie", "item_id", "share", slots.alias("slots"))
-    side = lambda name: F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x[name]))))
-    pairs = pairs.filter((side("here") == F.size("slots")) & (side("there") == F.size("slots")))
-    return pairs.select("doc_id", "tie", "item_id", "share", F.exists("slots", lambda x: x["here"] != x["there"]).alias("renamed"))
+    pairs = pairs.select("doc_id", "tie", "item_id", "total", F.array_distinct(F.filter(F.transform("runs", _slots), lambda r: _agree(r["slots"]))).alias("runs"))
+    # From each run on, and from those that are verbatim, the runs that agree are taken, longest first.
+    best = F.array_max(F.concat(*[_together(level) for level in (False, True)]))
+    pairs = pairs.withColumn("runs", F.reverse(F.array_sort("runs"))).select("doc_id", "tie", "item_id", "total", best.alias("best"))
+    pairs = pairs.filter(F.col("best.n") >= F.greatest(F.lit(1.0), F.col("total") * coverage))
+    return pairs.select("doc_id", "tie", "item_id", (F.col("best.n") / F.col("total")).alias("share"), (~F.col("best.same")).alias("renamed"))
+
+
+def _runs(pairs: DataFrame) -> DataFrame:
+    """``hits`` as ``runs``: (loose, shift, begin, end, at), the windows of one alignment that join without a gap between tokens."""
+    key = ["doc_id", "tie", "item_id", "total", "size"]
+    rows = pairs.select(*key, F.explode("hits").alias("h")).select(*key, "h.*")
+    rows = rows.select(*key, "shift", "at", F.explode(F.array_compact(F.array(F.when(F.col("in_strict"), F.lit(False)), F.when(F.col("in_loose"), F.lit(True))))).alias("is_loose"))
+    order = Window.partitionBy(*key, "is_loose", "shift").orderBy("at")
+    opens = F.when(F.col("at") - F.lag("at").over(order) <= F.col("size"), 0).otherwise(1)
+    rows = rows.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order))
+    runs = rows.groupBy(*key, "is_loose", "shift", "run").agg(F.min("at").alias("begin"), (F.max("at") + F.col("size")).alias("end"), F.array_sort(F.collect_list("at")).alias("at"))
+    return runs.groupBy("doc_id", "tie", "item_id", "total").agg(F.collect_list(F.struct("is_loose", "shift", "begin", "end", "at")).alias("runs"))
+
+
+def _slots(run: Column) -> Column:
+    """A run as (n, at, is_loose, same, slots); slots are (kind, item's value, document's value) inside it."""
+
+    def slot(i: Column) -> Column:
+        code, there = F.get("code", i), F.get("d_code", run["shift"] + i)
+        kind = F.when(run["is_loose"], _loose(code)).otherwise(_strict(code))
+        return F.when(_placeholder(kind) & (_loose(there) == kind), F.struct(kind.alias("kind"), F.get("raw", i).alias("here"), F.get("d_raw", run["shift"] + i).alias("there")))
+
+    made = F.transform(F.sequence(run["begin"], run["end"] - 1), slot)
+    made = F.array_distinct(F.array_compact(made))
+    return F.struct(F.size(run["at"]).alias("n"), run["at"].alias("at"), run["is_loose"].alias("is_loose"), _identical(made).alias("same"), made.alias("slots"))
+
+
+def _agree(slots: Column) -> Column:
+    """Whether each value of a side stands for one value of the other."""
+    side = lambda name: F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["kind"], x[name]))))
+    return (side("here") == F.size(slots)) & (side("there") == F.size(slots))
+
+
+def _identical(slots: Column) -> Column:
+    return F.forall(slots, lambda x: x["here"] == x["there"])
+
+
+def _together(is_loose: bool) -> Column:
+    """Array of (n, same): windows that agree, for each run as the first and for all verbatim runs."""
+    runs = F.filter("runs", lambda r: r["is_loose"] == is_loose)
+
+    def add(now: Column, run: Column) -> Column:
+        joined = F.transform(F.array(F.array_union(now["slots"], run["slots"])), lambda s: F.when(_agree(s), F.struct(F.array_union(now["at"], run["at"]).alias("at"), s.alias("slots"))))
+        return F.coalesce(F.element_at(joined, 1), now)
+
+    def said(sum_of: Column) -> Column:
+        return F.struct(F.size(sum_of["at"]).alias("n"), _identical(sum_of["slots"]).alias("same"))
+
+    each = F.transform(runs, lambda first: F.aggregate(runs, F.struct(first["at"].alias("at"), first["slots"].alias("slots")), add, said))
+    verbatim = F.array_distinct(F.flatten(F.transform(F.filter(runs, lambda r: r["same"]), lambda r: r["at"])))
+    return F.concat(each, F.array(F.struct(F.size(verbatim).alias("n"), F.lit(True).alias("same"))))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
