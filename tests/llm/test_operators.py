@@ -367,6 +367,14 @@ def test_slots_outside_of_matched_windows_do_not_count(spark):
     assert held(spark, item, head + " but often 9 of us")[0]
 
 
+def test_names_that_open_a_sentence(spark):
+    item = "Tom has 3 apples. Tom buys 4 more. How many does Tom have?"
+    only = "Tom has 3 apples in a box. Tom buys 4 more of them today."
+    texts = item.replace("Tom", "Ann"), "so: " + item.replace("Tom", "Ann").replace("3", "5"), item.replace("Tom", "Ann", 1).replace("Tom", "Bob", 1).replace("Tom", "Cid"), item
+    assert held(spark, item, *texts) == [True, True, False, True]
+    assert held(spark, only, only.replace("Tom", "Ann"), only.replace("Tom", "Ann", 1).replace("Tom", "Bob")) == [True, False]
+
+
 def test_water_filling():
     t = mixing.water_fill([("a", 100), ("b", 10), (None, 50)], [3, 1, 2], 240, 2)
     assert t == {"a": pytest.approx(132), "b": 20.0, None: pytest.approx(88)}

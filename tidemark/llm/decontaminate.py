@@ -42,6 +42,7 @@ def tokens(text: Column) -> Column:
     text = F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
     text = F.regexp_replace(text, rf"(?i)(?<=\d)[\x20-]?({UNITS})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
     text = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu}\p{Ll})", _NAME)
+    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}\u0002\u0003%$€£°])", _FIRST)
     return F.array_remove(F.split(F.lower(text), _BREAK), "")
 
 
