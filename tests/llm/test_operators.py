@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -102,6 +103,27 @@ def test_secret_scan_is_linear_and_whole(docs, rows, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_lexer_has_no_caps():
+    for gap in (1, 12, 300):
+        text = f"db_pwd{' ' * gap}={' ' * gap}Xk29fjQ8zLmPq4\n"
+        (s, _, e), = secrets.lexed_spans(text)
+        assert text[s:e] == "Xk29fjQ8zLmPq4"
+    rng = np.random.default_rng(5)
+    for n in (4096, 4097, 9000):
+        value = "".join(rng.choice(list("abcXYZ0189"), n))
+        text = f"db_pwd = {value} end"
+        assert secrets.redact(text, secrets.scan(text)[4]) == "db_pwd = [SECRET] end"
+        assert list(secrets.tail_scores(text, 9, 9 + n))[: n - 20 : 97] == pytest.approx([secrets.literal_score(value[i:]) for i in range(0, n - 20, 97)])
+    assert secrets.lexed_spans("db_pwd = " + "x" * 5000) == []
+
+
+def test_lexer_is_linear_in_chained_operators():
+    start = time.monotonic()
+    assert len(secrets.lexed_spans("db_pwd=" * 60000 + "Xk29fjQ8zLmPq4")) == 60000
+    assert len(secrets.lexed_spans("a" + " " * 200000 + "=" + " " * 200000 + "= b")) == 0
+    assert time.monotonic() - start < 20
+
+
 def naive_pii(text):
     out = [(0, m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [(1, m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +34,15 @@ SENSITIVE = {
 #: Words that say the name holds something else.
 HARMLESS = frozenset("public name id path file url uri count length size type field label hint expires expiry ttl limit policy".split())
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|example|none|null|true|false|todo|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%)$")
+YOURS = re.compile(r"(?i)your[_-]")
+#: Bare literals of more characters are scored without copying them.
+LONG = 4096
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/|&^%-])=(?![=~])|(?<!:):(?![:/])")
-_NAME = re.compile(r"""["'`]?([A-Za-z_][\w.$-]{0,127}(?:\[["']?[\w.-]{1,64}["']?\])?)["'`]?[ \t]{0,8}$""", re.A)
+_NAME = re.compile(r"""["'`]?([A-Za-z_][\w.$-]{0,127}(?:\[["']?[\w.-]{1,64}["']?\])?)["'`]?$""", re.A)
 _QUOTED = re.compile(r"""[ \t]*[frbuFRBU]{0,2}(["'`])((?:\\.|(?!\1)[^\\\n])*)\1""")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.?|&)[ \t]*(?=[\"'`])")
-_BARE = re.compile(r"[ \t]{0,8}([A-Za-z0-9+/_.=~@!#$%^&*-]{1,4096})")
+_BLANKS = re.compile(r"[ \t]*")
+_BARE = re.compile(r"[A-Za-z0-9+/_.=~@!#$%^&*-]+")
 _IDENT = re.compile(r"[A-Za-z_][\w.]{0,127}\Z", re.A)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -69,13 +74,35 @@ def literal_score(value: str) -> float:
     return min(1.0, bits / 3.5) * (0.5 if " " in value else 1.0) * (1.0 if kinds >= 2 or len(value) >= 20 else 0.4)
 
 
+def tail_scores(text: str, start: int, end: int) -> array:
+    """``literal_score`` of text[i:end], more than LONG characters of a bare literal, for each i from start on, in one pass."""
+    counts: dict[str, int] = {}
+    out, total = array("d", bytes(8 * (end - start))), 0.0
+    for i in range(end - 1, start - 1, -1):
+        c = counts.get(text[i], 0)
+        counts[text[i]] = c + 1
+        total += (c + 1) * math.log2(c + 1) - (c * math.log2(c) if c else 0.0)
+        n = end - i
+        bits = math.log2(n) - total / n
+        hollow = not counts.keys() - {"x", "X"} or not counts.keys() - {"*"} or text[i] == text[end - 1] == "%" or YOURS.match(text, i)
+        out[i - start] = 0.0 if hollow else min(1.0, bits / 3.5)
+    return out
+
+
 def pairs(text: str):
-    """Name and literal pairs: (name, value, start, end, is_identifier)."""
-    after = 0
+    """Name and literal pairs: (name, value, start, end, is_identifier, bare_start).
+
+    A bare literal of more than LONG characters has no value, as one that holds many operators would be copied for each; bare_start
+    is where the first literal of the same unbroken stretch starts.
+    """
+    after = run_start = run_end = run_kept = 0
     for op in _OPERATOR.finditer(text):
         if op.start() < after:
             continue
-        name = _NAME.search(text, max(after, op.start() - 160), op.start())
+        end = op.start()
+        while end > after and text[end - 1] in " \t":
+            end -= 1
+        name = _NAME.search(text, max(after, end - 160), end)
         if not name:
             continue
         if quoted := _QUOTED.match(text, op.end()):
@@ -83,25 +110,39 @@ def pairs(text: str):
             while (join := _JOIN.match(text, quoted.end())) and (quoted := _QUOTED.match(text, join.end())):
                 end, value = quoted.end(2), value + quoted[2]
             after = end
-            yield name[1], value, start, end, False
-        elif bare := _BARE.match(text, op.end()):
-            value = bare[1].rstrip(".,;")
-            after = bare.start(1)
-            yield name[1], value, bare.start(1), bare.start(1) + len(value), bool(_IDENT.match(value))
+            yield name[1], value, start, end, False, start
+            continue
+        start = _BLANKS.match(text, op.end()).end()
+        if start >= run_end:
+            if not (bare := _BARE.match(text, start)):
+                continue
+            run_start, run_end, run_kept = start, bare.end(), start + len(bare[0].rstrip("."))
+        end = max(start, run_kept)
+        value = text[start:end] if end - start <= LONG else None
+        after = start
+        yield name[1], value, start, end, bool(value and _IDENT.match(value)), run_start
 
 
 def lexed_spans(text: str, threshold: float = 1.0) -> list[tuple[int, int, int]]:
     if ":" not in text and "=" not in text:
         return []
-    constants: dict[str, tuple[str, int, int]] = {}
-    found = {}
-    for name, value, start, end, identifier in pairs(text):
+    constants: dict[str, tuple[str | None, int, int, int]] = {}
+    found, tails = {}, {}
+    for name, value, start, end, identifier, first in pairs(text):
         if identifier and value in constants:
-            value, start, end = constants[value]
-        if value:
-            constants[name] = (value, start, end)
+            value, start, end, first = constants[value]
+        if end > start or value:
+            constants[name] = (value, start, end, first)
         score = name_score(name)
-        if score >= 0.8 and end > start and score * literal_score(value) + 0.4 >= threshold:
+        if score < 0.8 or end <= start:
+            continue
+        if value is None:
+            if end not in tails:
+                tails[end] = tail_scores(text, first, end)
+            worth = tails[end][start - first]
+        else:
+            worth = literal_score(value)
+        if score * worth + 0.4 >= threshold:
             found[start, end] = (start, 3, end)
     return list(found.values())
 
