@@ -262,6 +262,12 @@ def test_weighted_fingerprints(docs, rows, empty):
     assert weighted_fingerprints.fingerprint(empty).count() == 0
 
 
+def test_fingerprint_error_at_half_likeness(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(20 * i, 20 * i + 60))) for i in range(500)]
+    got = weighted_fingerprints.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id > 0").collect()
+    assert np.std([r.near_next - 0.5 for r in got]) < 0.1
+
+
 def test_fingerprint_of_one_document(spark):
     df = spark.createDataFrame([(5, "a b a")], "doc_id long, text string")
     r = weighted_fingerprints.fingerprint(df).collect()[0]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS = 16
+SLOTS = 32
 LOWEST = -(1 << 63)
 
 
