@@ -160,6 +160,16 @@ def test_pii_added_spans():
     assert pii.scan("the quick brown fox, section 12-34-5678 of 2020", model)[6] == 0
 
 
+def test_spelled_emails_are_proposed_whatever_else_the_text_holds():
+    model = pii.trained()
+    for said in ("jane at example.com", "jo (At) example.com", "jane\nat example dot\ncom", "jo AT post.org"):
+        for rest in ("", " and (at) last a dot on the line"):
+            text = f"please write to {said} today{rest}"
+            assert ("email_spelled", 16, 16 + len(said)) in pii.candidates(text)
+            assert f"email_spelled:16:{16 + len(said)}" in pii.scan(text, model)[5]
+    assert pii.scan("then he was at home. then it rained", model)[6] == 0
+
+
 def test_pii_scan(docs, rows, empty):
     assert {k: len(v) for k, v in by_id(pii.find_pii(docs)).items()} == ids(rows)
     assert pii.find_pii(empty).count() == 0

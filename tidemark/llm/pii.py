@@ -46,6 +46,7 @@ _GENERATORS = {
     "card_grouped": re.compile(r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9.])"),
     "ip6": re.compile(r"(?i)(?<![0-9a-f:])(?:[0-9a-f]{1,4}:){3,7}(?::?[0-9a-f]{1,4})(?![0-9a-f:])"),
 }
+_SPELLED_END = re.compile(r"(?i)(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[a-z0-9-]{2,40}\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[a-z]{2,10}\b")
 _CUES = {
     "email_spelled": "mail email contact write reach address".split(),
     "iban": "iban account bank transfer konto cuenta compte".split(),
@@ -124,6 +125,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(any(cue)), float(cue.index(True)) if any(cue) else 9.0, float(any(against)), float(against.index(True)) if any(against) else 9.0,
         float(any(w.startswith(c) for w in behind for c in _CUES[kind])), float(int(y.group())) if y else 0.0,
         float(start > 0 and text[start - 1] in ":#="), float(digits[:3] in ("000", "666") or digits[:1] == "9"), sum(c.isalpha() for c in s),
+        float(bool(re.search(r"\.\s", s))),
     ]
 
 
@@ -131,9 +133,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     if _DIGIT.search(text):
         out = [(k, m.start(), m.end()) for k in ADDED[1:] for m in _GENERATORS[k].finditer(text)]
-    low = text.lower() if "at" in text or "AT" in text else ""
-    # The spelled form needs a dot and an at; only texts with a bracketed or spaced one are worth the pattern.
-    if "(at)" in low or "[at]" in low or "{at}" in low or (" at " in low and " dot " in low):
+    # The end of the spelled form, without which the whole can't match, is quicker to look for.
+    if _SPELLED_END.search(text):
         out += [("email_spelled", m.start(), m.end()) for m in _GENERATORS["email_spelled"].finditer(text)]
     return out
 
@@ -153,9 +154,11 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
         check = 98 - int("".join(str(int(c, 36)) for c in body + "DE00")) % 97
         return f"DE{(check if ok else (check + 1 + int(rng.integers(90))) % 97):02d}" + body
 
-    def shape(kind: str, real: bool) -> str:
+    def shape(kind: str, real: bool, cued: bool) -> str:
         if kind == "email_spelled":
-            return f"{pick(filler)}{d(int(rng.integers(0, 3)))} (at) {pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))} (dot) {pick(['com', 'org', 'de'])}" if real or rng.random() < 0.3 else f"{pick(filler)} at {pick(filler)}. {pick(filler)}"
+            if real and rng.random() < 0.5:
+                return f"{pick(filler)}{d(int(rng.integers(0, 3)))}{pick('   \n')}{pick(['at', 'at', 'At', 'AT', '(at)', '(At)'])}{pick('   \n')}{pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))}{pick(['.', '.', ' dot ', ' dot\n'])}{pick(['com', 'org', 'de'])}"
+            return f"{pick(filler)}{d(int(rng.integers(0, 3)))} (at) {pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))} (dot) {pick(['com', 'org', 'de'])}" if real or (not cued and rng.random() < 0.3) else f"{pick(filler)} at {pick(filler)}. {pick(filler)}"
         if kind == "iban":
             return iban(real)
         if kind == "ssn":
@@ -176,7 +179,7 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
         cue = pick(_CUES[kind]) if real or rng.random() < 0.05 else (pick(_AGAINST) if rng.random() < 0.6 else pick(filler))
         if real and kind in ("iban", "card_grouped") and rng.random() < 0.4:
             cue = pick(filler)
-        s = shape(kind, real)
+        s = shape(kind, real, any(cue.startswith(c) for c in _CUES[kind]))
         text = f"{' '.join(pick(filler) for _ in range(4))} {cue}{pick([' ', ': ', ' is ', ' me at ', f' {pick(filler)} ', f' {pick(filler)} {pick(filler)} '])}{s} {pick(filler)}"
         got = [(k, a, b) for k, a, b in candidates(text) if k == kind]
         if got:
