@@ -170,6 +170,13 @@ def test_spelled_emails_are_proposed_whatever_else_the_text_holds():
     assert pii.scan("then he was at home. then it rained", model)[6] == 0
 
 
+def test_no_kind_is_off():
+    model = pii.trained()
+    assert max(model.thresholds.values()) <= 1
+    assert "phone_plain:5:19" in pii.scan("call (555) 123-4567 today", model)[5]
+    assert pii.scan("order 555-123-4567 shipped", model)[6] == 0
+
+
 def test_pii_scan(docs, rows, empty):
     assert {k: len(v) for k, v in by_id(pii.find_pii(docs)).items()} == ids(rows)
     assert pii.find_pii(empty).count() == 0

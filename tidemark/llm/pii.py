@@ -140,7 +140,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 
 
 def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int], list[str]]:
-    """Labelled candidates by rule: real formats in personal contexts, and look-alikes in others."""
+    """Labelled candidates by rule: real formats in personal contexts, and look-alikes in others; a look-alike in a personal context has a form of its own."""
     rng = np.random.default_rng(seed)
     filler = "the and of with in a to lore tionen eren over para den que les on thing was then".split()
     d = lambda k: "".join(str(x) for x in rng.integers(0, 10, k))
@@ -162,14 +162,20 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
         if kind == "iban":
             return iban(real)
         if kind == "ssn":
-            area = f"{int(rng.integers(1, 899)):03d}" if real else pick(["000", "666", f"9{d(2)}", d(3)])
+            area = f"{int(rng.integers(1, 899)):03d}" if real else pick(["000", "666", f"9{d(2)}", f"9{d(2)}" if cued else d(3)])
             return f"{area}-{int(rng.integers(1, 99)):02d}-{d(4)}"
+        if kind == "birth_date" and cued and not real:
+            return f"{int(rng.integers(1, 28)):02d}/{int(rng.integers(1, 12)):02d}/{int(rng.integers(2030, 2099))}"
         if kind == "birth_date":
             return f"{int(rng.integers(1, 28)):02d}/{int(rng.integers(1, 12)):02d}/{int(rng.integers(1930, 2012) if real else rng.integers(1900, 2099))}"
+        if kind == "phone_plain" and cued and not real:
+            return pick([f"{d(4)}/{d(4)}-{d(4)}", f"{d(2)} {d(4)} {d(3)}", f"{d(4)}.{d(3)}.{d(3)}"])
         if kind == "phone_plain":
             return f"({d(3)}) {d(3)}-{d(4)}" if rng.random() < 0.5 else f"{d(3)}-{d(3)}-{d(4)}"
         if kind == "card_grouped":
             number, sep = checked("4" + d(14)) if real else d(16), pick("./_")
+            if cued and not real and luhn(number):
+                number = number[:-1] + str((int(number[-1]) + 1) % 10)
             return sep.join(number[i : i + 4] for i in range(0, 16, 4))
         return ":".join(f"{int(rng.integers(0, 65536)):x}" for _ in range(8)) if real else ":".join(f"{d(2)}" for _ in range(6))
 
