@@ -71,6 +71,14 @@ def test_label_rules():
     assert ("label_not_in_map", "up") in labels.resolve(["idle", "up"], mapping)[1]
 
 
+def test_every_occurrence_of_a_cell_is_parsed(spark, tmp_path):
+    spark.createDataFrame([(1, "a 5 5 x 5 7"), (2, "5 (521)")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.pos, r.token) for r in catalogue.QUERIES["parse_number"](spark, str(tmp_path)).collect())
+    assert got == [(1, 1, "5"), (1, 2, "5"), (1, 4, "5"), (1, 5, "7"), (2, 0, "5"), (2, 1, "(521)")]
+    made = catalogue.QUERIES["parse_census"](spark, str(tmp_path)).collect()
+    assert sum(r.n for r in made) == 6 and sum(r.tokens for r in made) == 3
+
+
 def numpy_q(x):
     m, s, d = x.mean(), x.std(), np.diff(x)
     return {

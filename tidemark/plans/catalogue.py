@@ -1,7 +1,7 @@
 """Registered queries over the driver's tables, and the same in DuckDB's SQL.
 
 Adapters turn the tables into recordings: EV is ``events`` by user, LI is ``lineitem`` by supplier with a derived label of long runs, EM has one
-window of 64 samples a vector, PR has one probability array a frame, DT has the tokens of documents that hold digits.
+window of 64 samples a vector, PR has one probability array a frame, DT has one row a token of documents that holds digits.
 Doubles are rounded to six places and integers widened on both sides.
 """
 
@@ -61,8 +61,8 @@ def pr(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dt(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("token"))
-    return df.filter(F.col("token").rlike("[0-9]")).distinct()
+    df = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "token"))
+    return df.filter(F.col("token").rlike("[0-9]"))
 
 
 EV = """ev as (select event_id, user_id as session, event_type as label, value, epoch(ts) as t,
@@ -73,7 +73,7 @@ LI = """li as (select *, (pos//60)%4 as label from (select l_suppkey as session,
 EM = """em as (select vec_id, label::bigint as label, generate_subscripts(embedding,1)-1 as k, unnest(embedding)::double as x from embeddings)"""
 PR = """pr0 as (select vec_id as pos, list_transform(embedding[1:8], lambda e: abs(e::double)) as a from embeddings),
 pr as (select pos, list_transform(a, lambda e: e/(a[1]+a[2]+a[3]+a[4]+a[5]+a[6]+a[7]+a[8])) as p from pr0)"""
-DT = r"""dt as (select distinct doc_id, token from (select doc_id, unnest(regexp_split_to_array(text,'\s+')) as token from documents) where regexp_matches(token,'[0-9]'))"""
+DT = r"""dt as (select doc_id, pos, token from (select doc_id, generate_subscripts(a,1)-1 as pos, unnest(a) as token from (select doc_id, regexp_split_to_array(text,'\s+') as a from documents)) where regexp_matches(token,'[0-9]'))"""
 
 
 def runs_sql(src: str, label: str = "label") -> str:
@@ -339,16 +339,16 @@ _NUM = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
 
 def _parse_sql(comma: bool) -> str:
     decimal = "when c and not d and len(string_split(s,','))=2 and length(string_split(s,',')[2])<>3 then replace(s,',','.') " if comma else ""
-    return f"""with {DT}, a as (select doc_id, token, {_STRIP.format('token')} as s from dt), b as (select *, contains(s,',') as c, contains(s,'.') as d from a),
+    return f"""with {DT}, a as (select doc_id, pos, token, {_STRIP.format('token')} as s from dt), b as (select *, contains(s,',') as c, contains(s,'.') as d from a),
 e as (select *, case {decimal}when c then replace(s,',','') else s end as f from b),
 g as (select *, regexp_extract(f,'{_NUM}') as m, regexp_replace(f,'{_NUM}','') as rest, upper(s) in ('','NA','NAN','N/A','NULL','NONE','#N/A','#NA','NIL') as miss from e),
-h as (select doc_id, token, case when miss then 'empty_or_na' when m='' or regexp_matches(rest,'[0-9]') then 'unrepairable' end as reason, m from g)"""
+h as (select doc_id, pos, token, case when miss then 'empty_or_na' when m='' or regexp_matches(rest,'[0-9]') then 'unrepairable' end as reason, m from g)"""
 
 
-@query(_parse_sql(False) + f" select doc_id, token, {R('case when reason is null then try_cast(m as double) end')} as value, reason from h")
+@query(_parse_sql(False) + f" select doc_id, pos, token, {R('case when reason is null then try_cast(m as double) end')} as value, reason from h")
 def parse_number(spark, sf):
     value, reason = parsing.parse_number(F.col("token"))
-    return dt(spark, sf).select("doc_id", "token", value.alias("value"), reason.alias("reason"))
+    return dt(spark, sf).select("doc_id", "pos", "token", value.alias("value"), reason.alias("reason"))
 
 
 @query(_parse_sql(True) + " select coalesce(reason,'ok') as outcome, count(*) as n, count(distinct token) as tokens from h group by 1")
