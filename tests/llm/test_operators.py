@@ -420,6 +420,140 @@ def test_names_that_open_a_sentence(spark):
     assert held(spark, only, only.replace("Tom", "Ann"), only.replace("Tom", "Ann", 1).replace("Tom", "Bob")) == [True, False]
 
 
+def test_number_heavy_items_are_found_where_copied(spark):
+    item = "Compute 3 + 4 * 5 - 6 / 2 + 8 * 9"
+    assert held(spark, item, f"so {item} then", item.replace("9", "7"), "3 4 5 6 2 8 9 1 2 3") == [True, False, False]
+    bad = item.replace("3", "5", 1)
+    assert held(spark, item, f"{item}. and then. {bad}", f"{bad}. and then. {item}") == [True, True]
+
+
+def test_short_items_are_held_by_texts_that_are_nothing_else(spark):
+    assert held(spark, "2 + 2 = 4", "2 + 2 = 4", "2 2 4!", "we say 2 + 2 = 4 here", "2 2") == [True, True, False, False]
+    assert held(spark, "?!", "?!", "") == [False, False]
+    assert held(spark, "what is 3 plus 4", "so what is 3 plus 4 said he", "so what is 5 plus 4 said he") == [True, False]
+
+
+def test_an_item_with_several_texts(spark):
+    one, two = " ".join(WORDS60[:12]), " ".join(WORDS60[20:40])
+    bench = spark.createDataFrame([(1, one), (1, two), (1, one)], "item_id long, text string")
+    df = spark.createDataFrame([(1, one), (2, two), (3, one + " and " + two), (4, " ".join(WORDS60[40:]))], "doc_id long, text string")
+    got = {r.doc_id: (r.n_items, r.items, r.best_share) for r in decontaminate.report(df, bench).collect()}
+    assert got == {1: (1, [1], 1.0), 2: (1, [1], 1.0), 3: (1, [1], 1.0), 4: (0, [], 0.0)}
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "__id", "__tie", "a.b", "tie", "row", "h_id"]
+    df = spark.createDataFrame([(1, ITEM, 1, 2, 3, 4, 5, 6), (2, "clean", 1, 2, 3, 4, 5, 6)], names)
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    got = decontaminate.clean(df, bench)
+    assert got.columns == names and [tuple(r) for r in got.collect()] == [(2, "clean", 1, 2, 3, 4, 5, 6)]
+
+
+def template_tokens(text):
+    """(token, kind) by reading a text once: kind n number, u unit after a number, p name, o a capitalised word that opens a sentence, w a word."""
+    text = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "", text)
+    out = []
+    for m in re.finditer(r"[^\W_]+|[%$€£°]+", text):
+        for part in re.findall(r"[0-9]+|[^0-9]+", m[0]) if re.fullmatch(rf"[0-9]+({decontaminate.UNITS})", m[0].lower()) else [m[0]]:
+            after_number = bool(out) and out[-1][1] == "n" and re.fullmatch(r"[ -]?", text[last : m.start()])
+            if part[0].isdigit():
+                kind = "n"
+            elif (after_number or part != m[0]) and re.fullmatch(decontaminate.UNITS, part.lower()):
+                kind = "u"
+            elif re.match(r"[A-Z][a-z]", part):
+                kind = "p" if re.search(r"[a-z0-9,;] $", text[: m.start()]) else "o"
+            else:
+                kind = "w"
+            out.append((part.lower(), kind))
+            last = m.end()
+    return out
+
+
+def best_share(item, doc, window=8, literal=4, coverage=0.3):
+    """Share of an item's windows that a document holds, by looking at every pair of places."""
+    size = min(window, len(item))
+    if len(item) < 5:
+        return 1.0 if item and [t for t, _ in item] == [t for t, _ in doc] else 0.0
+    best, exact_at = 0.0, set()
+    for is_loose in (False, True):
+        place = lambda x: x[1] if x[1] in "nup" else ("p" if is_loose and x[1] == "o" else "=" + x[0])
+        strictly = lambda x: x[1] if x[1] in "nup" else "=" + x[0]
+
+        def key(w):
+            if sum(x[1] in "wo" for x in w) < min(literal, size):
+                return "exact", tuple(x[0] for x in w)
+            if is_loose and sum(x[1] == "w" for x in w) >= min(literal, size):
+                return "loose", tuple(map(place, w))
+            return "strict", tuple(map(strictly, w))
+
+        mine = {i: key(item[i : i + size]) for i in range(len(item) - size + 1)}
+        exact_at |= {i for i, k in mine.items() if k[0] == "exact"}
+        hits = collections.defaultdict(list)
+        for j in range(len(doc) - size + 1):
+            said = {k for loose in (False, True) for k in [key(doc[j : j + size])] if loose == is_loose}
+            hits_here = [i for i, k in mine.items() if k in said or (k[0] == "loose" and k[1] == tuple(map(strictly, doc[j : j + size])) and k[1] == tuple(map(place, doc[j : j + size])))]
+            for i in hits_here:
+                hits[j - i].append(i)
+        runs = []
+        for shift, at in hits.items():
+            at.sort()
+            cut = [0, *[k for k in range(1, len(at)) if at[k] - at[k - 1] > size], len(at)]
+            for a, b in itertools.pairwise(cut):
+                run = at[a:b]
+                slots = set()
+                for i in range(run[0], run[-1] + size):
+                    p = place(item[i])
+                    if p in "nup" and (doc[shift + i][1] == p or (p == "p" and doc[shift + i][1] == "o")):
+                        slots.add((p, item[i][0], doc[shift + i][0]))
+                runs.append((set(run), slots))
+        agree = lambda s: len({x[:2] for x in s}) == len(s) == len({(x[0], x[2]) for x in s})
+        runs = [r for r in runs if agree(r[1])]
+        runs.sort(key=lambda r: -len(r[0]))
+        made = [set().union(*[r[0] for r in runs if all(h == t for _, h, t in r[1])])]
+        for first in runs:
+            at, slots = set(first[0]), set(first[1])
+            for r in runs:
+                if agree(slots | r[1]):
+                    at, slots = at | r[0], slots | r[1]
+            made.append(at)
+        total, templates = len(mine), len(mine) - len({i for i, k in mine.items() if k[0] == "exact"})
+        best = max([best, *[len(at) / total for at in made], *[len(at - exact_at) / templates for at in made if templates]])
+    return best if best >= coverage else 0.0
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    pick = lambda x: x[int(rng.integers(len(x)))]
+    names = ["Tom", "Ann", "Alice", "Bob", "Carol"]
+
+    def word():
+        r = rng.random()
+        return str(rng.integers(1, 12)) if r < 0.25 else (f"{rng.integers(1, 9)} {pick(['kg', 'km', 'hours'])}" if r < 0.32 else pick(names) if r < 0.42 else pick(WORDS60))
+
+    items = [" ".join(word() for _ in range(int(rng.integers(2, 30)))) for _ in range(40)]
+    items += [" + ".join(str(rng.integers(1, 99)) for _ in range(int(rng.integers(6, 14)))) for _ in range(10)]
+    docs = []
+    for k in range(400):
+        text = pick(items)
+        for _ in range(int(rng.integers(0, 3))):
+            words = text.split(" ")
+            i = int(rng.integers(len(words)))
+            old, new = words[i], word()
+            kind = rng.integers(4)
+            text = [text.replace(old, new), " ".join([*words[:i], new, *words[i:]]), " ".join(words[:i] + words[i + 1 :]), " ".join([*words[: max(i, 8)], pick(items)])][kind]
+        docs.append((k, pick(["", "so. ", " ".join(word() for _ in range(6)) + " "]) + text + pick(["", ". " + text, " and more"])))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = by_id(decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string"), bench))
+    parts = [template_tokens(x) for x in items]
+    hits = 0
+    for k, text in docs:
+        doc = template_tokens(text)
+        want = [i for i, x in enumerate(parts) if best_share(x, doc) > 0]
+        hits += len(want)
+        assert got[k][0].items == want, (text, [items[i] for i in set(want) ^ set(got[k][0].items)])
+    assert hits > 200
+
+
 def test_water_filling():
     t = mixing.water_fill([("a", 100), ("b", 10), (None, 50)], [3, 1, 2], 240, 2)
     assert t == {"a": pytest.approx(132), "b": 20.0, None: pytest.approx(88)}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
@@ -38,6 +38,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of a row in one struct, whatever their names."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def unpacked(df: DataFrame, row: str = "row") -> DataFrame:
+    """The columns of a packed row again."""
+    return df.select(*[F.col(row).getField(c).alias(c) for c in df.schema[row].dataType.names])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def map_texts(df: DataFrame, row: Callable, schema: str, names: list[str], types: list[pa.DataType]) -> DataFrame:
     """Apply ``row(text) -> tuple`` to (doc_id, text) in Arrow batches; null texts count as empty."""
 

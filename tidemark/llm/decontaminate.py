@@ -4,23 +4,29 @@ Texts are cut into lower-cased tokens. Numbers, units after a number, and capita
 and <name>, so a question asked again with other numbers or names has the same template. A capitalised word that opens a sentence, line
 or text may be a name or not: the strict template keeps it, the loose one makes it a <name> too, and either may match.
 
-Windows of ``window`` template tokens are hashed and the documents' windows hash-joined to those of the benchmark. Windows of one
-alignment that cover tokens without a gap are a run. A run counts if its slots agree: every value of a slot in the item stands for one
-value in the document, and the other way round. A document holds an item if ``coverage`` of the item's windows occur in runs that agree
-with each other, wherever they stand, so inserted or deleted words only cost the windows that hold them. From each run as the first,
-others are added longest first while they agree; all verbatim runs together are one more choice.
+Windows of ``window`` template tokens are hashed and the documents' windows hash-joined to those of the benchmark. A window with fewer
+than ``literal`` tokens that aren't placeholders says too little as a template and is hashed with its very tokens instead (an exact
+window), so number-heavy items are found where they are copied word for word. One that is short of literals only in the loose template
+keeps its opening words there.
 
-Items with fewer tokens than a window are matched by windows of their own length, down to ``least`` tokens; shorter items can't be told
-from chance and never match. A window needs ``literal`` tokens that aren't placeholders (all of them in items shorter than that); one that
-has fewer only in the loose template keeps its opening words there.
+Windows of one alignment that cover tokens without a gap are a run. A run counts if its slots agree: every value of a slot in the item
+stands for one value in the document, and the other way round. A document holds an item if ``coverage`` of the item's windows, or of
+those of them that are templates, occur in runs that agree with each other, wherever they stand, so inserted or deleted words only cost
+the windows that hold them. From each run as the first, others are added longest first while they agree; all verbatim runs together are
+one more choice.
+
+Items with fewer tokens than a window are matched by windows of their own length, down to ``least`` tokens. Shorter items can't be told
+from chance inside a text; a document holds one if its tokens are the item's and nothing else. Items without any token never match.
 
 The benchmark's windows are broadcast only if there are at most ``broadcast_rows`` of them (about 40 bytes each); beyond that the
 join shuffles, after equal windows of a document have been merged.
 
-Defined cases: null and empty texts hold nothing; a null item_id or item text is no item; equal rows (same id and text) share their
-result and each is returned; with an empty benchmark every document is clean; other columns are ignored.
+Defined cases: null and empty texts hold nothing; a null item_id or item text is no item; an item_id with several texts is held if one
+of them is; equal rows (same id and text) share their result and each is returned; with an empty benchmark every document is clean;
+texts are read whole whatever their length; other columns are ignored, and ``clean`` keeps them whatever their names.
 """
 
+
 from __future__ import annotations
 
 from functools import reduce
@@ -28,12 +34,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, packed, unpacked
 
 UNITS = "mm|cm|km|m|mg|g|kg|lb|lbs|oz|ml|l|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|dollars?|euros?|cents?|percent|inch|inches|ft|feet|miles?|meters?|metres?|degrees?|°c|°f|%|\\$|€|£"
 _NAME, _UNIT, _FIRST = "\u0002", "\u0003", "\u0004"
 _BREAK = "[^\\p{L}\\p{N}\u0002\u0003\u0004%$€£°]+"
-_OPENS = 1
+#: Low bits of a code: the kind of its token; the rest is the hash of the token itself.
+_KIND, _OPENS, _NUM, _CALLED, _MEASURE = 7, 1, 2, 4, 6
 
 
 def tokens(text: Column) -> Column:
@@ -46,51 +53,65 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _BREAK), "")
 
 
-def template(t: Column) -> Column:
-    """Code of a token: 2 number, 4 name, 6 unit, else an even hash of the token, plus one if it is an opening word."""
+def coded(t: Column) -> Column:
+    """Code of a token: its hash with the kind in the low bits; 0 is a plain word."""
     first = F.left(t, F.lit(1))
-    even = lambda x: F.xxhash64(x).bitwiseAND(F.lit(~_OPENS))
-    return (
-        F.when(first == _NAME, F.lit(4).cast("long"))
-        .when(first == _UNIT, F.lit(6).cast("long"))
-        .when(first == _FIRST, even(F.substring(t, 2, 1 << 30)) + _OPENS)
-        .when(first.between("0", "9"), F.lit(2).cast("long"))
-        .otherwise(even(t))
-    )
+    kind = F.when(first == _NAME, _CALLED).when(first == _UNIT, _MEASURE).when(first == _FIRST, _OPENS).when(first.between("0", "9"), _NUM).otherwise(0)
+    plain = F.when(first.isin(_NAME, _UNIT, _FIRST), F.substring(t, 2, 1 << 30)).otherwise(t)
+    return F.xxhash64(plain).bitwiseAND(F.lit(~_KIND)).bitwiseOR(kind.cast("long"))
+
+
+def _kind(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(_KIND).cast("long"))
 
 
 def _strict(code: Column) -> Column:
-    return code.bitwiseAND(F.lit(~_OPENS))
+    """The token's place in the strict template: 2, 4 or 6 for a placeholder, else the hash of the word."""
+    return F.when(_kind(code) >= _NUM, _kind(code)).otherwise(code.bitwiseAND(F.lit(~_KIND)))
 
 
 def _loose(code: Column) -> Column:
-    return F.when(code.bitwiseAND(F.lit(_OPENS)) == _OPENS, F.lit(4).cast("long")).otherwise(code)
+    return F.when(_kind(code) == _OPENS, F.lit(_CALLED).cast("long")).otherwise(_strict(code))
 
 
-def _placeholder(code: Column) -> Column:
-    return code.between(1, 6)
+def _placeholder(place: Column) -> Column:
+    return place.between(1, _KIND)
 
 
 def _rows(df: DataFrame, *keys: str) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     made = df.select(*keys, tokens(text).alias("raw"))
     plain = F.transform("raw", lambda t: F.translate(t, _NAME + _UNIT + _FIRST, ""))
-    return made.select(*keys, plain.alias("raw"), F.transform("raw", template).alias("code"))
+    return made.select(*keys, plain.alias("raw"), F.transform("raw", coded).alias("code"))
+
 
+def _hashed(codes: list[Column], literal: int) -> Column:
+    """Struct (strict, loose, exact) of a window: its hash in either template, and whether it is hashed with its very tokens."""
+    size, need = F.lit(len(codes)), min(literal, len(codes))
+    plain = lambda kinds: reduce(lambda a, b: a + b, [F.when(_kind(c).isin(kinds), 1).otherwise(0) for c in codes])
+    enough = plain([0, _OPENS]) >= need
+    very = F.xxhash64(*[c.bitwiseAND(F.lit(~_KIND)) for c in codes], -size)
+    strict = F.when(enough, F.xxhash64(*[_strict(c) for c in codes], size)).otherwise(very)
+    loose = F.when(plain([0]) >= need, F.xxhash64(*[_loose(c) for c in codes], size)).otherwise(strict)
+    return F.struct(strict.alias("strict"), loose.alias("loose"), (~enough).alias("exact"))
 
-def _windows(rows: DataFrame, size: int, literal: int, *keys: str) -> DataFrame:
-    """One row a window: keys, pos, and its hash in the strict and the loose template; the latter is null below ``literal`` tokens."""
-    need = min(literal, size)
-    at = rows.filter(F.size("code") >= size).select(*keys, "code", F.posexplode("code").alias("pos", "head"))
-    part = [F.col("head"), *[F.get("code", F.col("pos") + i) for i in range(1, size)]]
 
-    def hashed(codes: list[Column]) -> Column:
-        plain = reduce(lambda a, b: a + b, [F.when(_placeholder(p), 0).otherwise(1) for p in codes])
-        return F.when(plain >= need, F.xxhash64(*codes, F.lit(size)))
+def _windows(rows: DataFrame, sizes: list[int], literal: int, *keys: str) -> DataFrame:
+    """One row a window of each size: keys, pos, size, strict, loose, exact. Each text is gone through once for all sizes."""
+    if not sizes:
+        return rows.select(*keys, F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("strict"), F.lit(0).cast("long").alias("loose"), F.lit(False).alias("exact")).limit(0)
+    at = rows.filter(F.size("code") >= sizes[0]).select(*keys, "code", F.posexplode("code").alias("pos", "head"))
+    part = [F.col("head"), *[F.get("code", F.col("pos") + i) for i in range(1, sizes[-1])]]
+    made = [F.when(F.col("pos") + s <= F.size("code"), F.struct(F.lit(s).alias("size"), _hashed(part[:s], literal).alias("h"))) for s in sizes]
+    if len(made) == 1:
+        return at.select(*keys, "pos", made[0].alias("w")).filter("w is not null").select(*keys, "pos", "w.size", "w.h.*")
+    return at.select(*keys, "pos", F.explode(F.array_compact(F.array(*made))).alias("w")).select(*keys, "pos", "w.size", "w.h.*")
 
-    whole = at.filter(F.col("pos") + size <= F.size("code"))
-    whole = whole.select(*keys, "pos", hashed([_strict(p) for p in part]).alias("strict"), hashed([_loose(p) for p in part]).alias("loose"))
-    return whole.filter("strict is not null")
+
+def _whole(rows: DataFrame, least: int, *keys: str) -> DataFrame:
+    """Texts of 1 to ``least`` - 1 tokens with the hash of them all."""
+    few = rows.filter(F.size("raw").between(1, least - 1))
+    return few.select(*keys, F.xxhash64(F.concat_ws(" ", "raw")).alias("all"), F.col("raw"))
 
 
 def matches(
@@ -98,60 +119,67 @@ def matches(
 ) -> DataFrame:
     """(doc_id, tie, item_id, share, renamed): the items each document holds, and whether slots have other values."""
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("tie")
-    docs = docs.select(doc_id, tie, "text")
+    docs = docs.select(doc_id, _tie().alias("tie"), "text")
+    # An item is a text: an item_id may have several.
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
-    items = materialise(_rows(items.dropDuplicates(), "item_id"), "benchmark-tokens")
+    items = items.dropDuplicates().withColumn("item", F.struct("item_id", _tie().alias("variant")))
+    items = materialise(_rows(items, "item"), "benchmark-tokens")
+    tiny = _whole(items, least, "item")
     n = F.size("code")
-    items = items.filter(n >= least).withColumn("size", F.least(n, F.lit(window)))
-    sizes = sorted(r.size for r in items.select("size").distinct().collect())  # at most window values
-    made = [_windows(items.filter(F.col("size") == s), s, literal, "item_id") for s in sizes]
-    spark = docs.sparkSession
-    made = reduce(DataFrame.union, made) if made else spark.createDataFrame([], "item_id long, pos int, strict long, loose long")
-    loose = F.coalesce("loose", "strict")
-    one = lambda h, a, b: F.struct(h.alias("item_hash"), F.lit(a).alias("in_strict"), F.lit(b).alias("in_loose"))
-    both = F.when(loose == F.col("strict"), F.array(one(loose, True, True))).otherwise(F.array(one(F.col("strict"), True, False), one(loose, False, True)))
-    wanted = materialise(made.select("item_id", F.col("pos").alias("item_pos"), F.explode(both).alias("w")).select("item_id", "item_pos", "w.*"), "benchmark-windows")
-    total = wanted.groupBy("item_id").agg(F.count_distinct("item_pos").alias("total"))
+    items = items.filter(n >= least).withColumn("own", F.least(n, F.lit(window)))
+    sizes = sorted(r.size for r in items.select(F.col("own").alias("size")).distinct().collect())  # at most window values
+    made = _windows(items, sizes, literal, "item", "own").filter("size = own")
+    one = lambda h, a, b: F.struct(F.col(h).alias("item_hash"), F.lit(a).alias("in_strict"), F.lit(b).alias("in_loose"))
+    both = F.when(F.col("loose") == F.col("strict"), F.array(one("loose", True, True))).otherwise(F.array(one("strict", True, False), one("loose", False, True)))
+    wanted = materialise(made.select("item", F.col("pos").alias("item_pos"), "exact", F.explode(both).alias("w")).select("item", "item_pos", "exact", "w.*"), "benchmark-windows")
+    exact_at = F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_pos")))).alias("exact_at")
+    total = wanted.groupBy("item").agg(F.count_distinct("item_pos").alias("total"), exact_at).withColumn("templates", F.col("total") - F.size("exact_at"))
     count = wanted.count()
     rows = _rows(docs, "doc_id", "tie")
-    found = [_windows(rows, s, literal, "doc_id", "tie") for s in sizes]
-    found = reduce(DataFrame.union, found) if found else spark.createDataFrame([], "doc_id long, tie long, pos int, strict long, loose long")
     # Windows without an opening word have one hash in both templates.
-    found = found.select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array("strict", "loose"))).alias("hash"))
+    found = _windows(rows, sizes, literal, "doc_id", "tie").select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array("strict", "loose"))).alias("hash"))
     if count <= broadcast_rows:
         hits = found.join(F.broadcast(wanted), F.col("hash") == F.col("item_hash"))
     else:
         hits = found.join(wanted.hint("shuffle_hash"), F.col("hash") == F.col("item_hash"))
     hit = F.struct((F.col("pos") - F.col("item_pos")).alias("shift"), F.col("item_pos").alias("at"), "in_strict", "in_loose")
-    pairs = hits.groupBy("doc_id", "tie", "item_id").agg(F.collect_set(hit).alias("hits"))
+    pairs = hits.groupBy("doc_id", "tie", "item").agg(F.collect_set(hit).alias("hits"))
     # Windows of all alignments together are the most that can agree.
-    pairs = pairs.join(total.join(items.select("item_id", "size").distinct(), "item_id"), "item_id")
-    pairs = pairs.filter(F.size(F.array_distinct("hits.at")) >= F.greatest(F.lit(1.0), F.col("total") * coverage))
+    pairs = pairs.join(total.join(items.select("item", F.col("own").alias("size")), "item"), "item")
+    fewest = F.when(F.col("templates") > 0, F.col("templates")).otherwise(F.col("total"))
+    pairs = pairs.filter(F.size(F.array_distinct("hits.at")) >= F.greatest(F.lit(1.0), fewest * coverage))
     pairs = materialise(pairs, "decontaminate-pairs")
     held = pairs.select("doc_id", "tie").distinct()
-    docs = docs.join(held.withColumnsRenamed({"doc_id": "h_id", "tie": "h_tie"}), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie")), "left_semi")
-    raw = _rows(docs.dropDuplicates(["doc_id", "tie"]), "doc_id", "tie").withColumnsRenamed({"doc_id": "d_id", "tie": "d_tie", "raw": "d_raw", "code": "d_code"})
+    some = docs.join(held.withColumnsRenamed({"doc_id": "h_id", "tie": "h_tie"}), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie")), "left_semi")
+    raw = _rows(some.dropDuplicates(["doc_id", "tie"]), "doc_id", "tie").withColumnsRenamed({"doc_id": "d_id", "tie": "d_tie", "raw": "d_raw", "code": "d_code"})
     pairs = _runs(pairs).join(raw, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tie") == F.col("d_tie")))
-    pairs = pairs.join(items.select("item_id", "raw", "code"), "item_id")
-    pairs = pairs.select("doc_id", "tie", "item_id", "total", F.array_distinct(F.filter(F.transform("runs", _slots), lambda r: _agree(r["slots"]))).alias("runs"))
+    pairs = pairs.join(items.select("item", "raw", "code"), "item")
+    key = ["doc_id", "tie", "item", "total", "templates", "exact_at"]
+    pairs = pairs.select(*key, F.array_distinct(F.filter(F.transform("runs", _slots), lambda r: _agree(r["slots"]))).alias("runs"))
+    pairs = pairs.withColumn("runs", F.reverse(F.array_sort("runs")))
     # From each run on, and from those that are verbatim, the runs that agree are taken, longest first.
-    best = F.array_max(F.concat(*[_together(level) for level in (False, True)]))
-    pairs = pairs.withColumn("runs", F.reverse(F.array_sort("runs"))).select("doc_id", "tie", "item_id", "total", best.alias("best"))
-    pairs = pairs.filter(F.col("best.n") >= F.greatest(F.lit(1.0), F.col("total") * coverage))
-    return pairs.select("doc_id", "tie", "item_id", (F.col("best.n") / F.col("total")).alias("share"), (~F.col("best.same")).alias("renamed"))
+    best = F.array_max(F.transform(F.concat(*[_together(level) for level in (False, True)]), lambda x: _share(x, coverage)))
+    pairs = pairs.select(F.col("item.item_id").alias("item_id"), "doc_id", "tie", best.alias("best")).filter("best.share > 0")
+    whole = _whole(rows, least, "doc_id", "tie").withColumnRenamed("raw", "d_raw").join(tiny, "all").filter("raw = d_raw")
+    whole = whole.select(F.col("item.item_id").alias("item_id"), "doc_id", "tie", F.struct(F.lit(1.0).alias("share"), F.lit(True).alias("same")).alias("best"))
+    held = pairs.unionByName(whole).groupBy("doc_id", "tie", "item_id").agg(F.max("best").alias("best"))
+    return held.select("doc_id", "tie", "item_id", F.col("best.share").alias("share"), (~F.col("best.same")).alias("renamed"))
+
+
+def _tie() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _runs(pairs: DataFrame) -> DataFrame:
     """``hits`` as ``runs``: (loose, shift, begin, end, at), the windows of one alignment that join without a gap between tokens."""
-    key = ["doc_id", "tie", "item_id", "total", "size"]
+    key = ["doc_id", "tie", "item", "total", "templates", "exact_at", "size"]
     rows = pairs.select(*key, F.explode("hits").alias("h")).select(*key, "h.*")
     rows = rows.select(*key, "shift", "at", F.explode(F.array_compact(F.array(F.when(F.col("in_strict"), F.lit(False)), F.when(F.col("in_loose"), F.lit(True))))).alias("is_loose"))
     order = Window.partitionBy(*key, "is_loose", "shift").orderBy("at")
     opens = F.when(F.col("at") - F.lag("at").over(order) <= F.col("size"), 0).otherwise(1)
     rows = rows.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order))
     runs = rows.groupBy(*key, "is_loose", "shift", "run").agg(F.min("at").alias("begin"), (F.max("at") + F.col("size")).alias("end"), F.array_sort(F.collect_list("at")).alias("at"))
-    return runs.groupBy("doc_id", "tie", "item_id", "total").agg(F.collect_list(F.struct("is_loose", "shift", "begin", "end", "at")).alias("runs"))
+    return runs.groupBy(*key[:-1]).agg(F.collect_list(F.struct("is_loose", "shift", "begin", "end", "at")).alias("runs"))
 
 
 def _slots(run: Column) -> Column:
@@ -178,7 +206,7 @@ def _identical(slots: Column) -> Column:
 
 
 def _together(is_loose: bool) -> Column:
-    """Array of (n, same): windows that agree, for each run as the first and for all verbatim runs."""
+    """Array of (at, same): windows that agree, for each run as the first and for all verbatim runs."""
     runs = F.filter("runs", lambda r: r["is_loose"] == is_loose)
 
     def add(now: Column, run: Column) -> Column:
@@ -186,11 +214,19 @@ def _together(is_loose: bool) -> Column:
         return F.coalesce(F.element_at(joined, 1), now)
 
     def said(sum_of: Column) -> Column:
-        return F.struct(F.size(sum_of["at"]).alias("n"), _identical(sum_of["slots"]).alias("same"))
+        return F.struct(sum_of["at"].alias("at"), _identical(sum_of["slots"]).alias("same"))
 
     each = F.transform(runs, lambda first: F.aggregate(runs, F.struct(first["at"].alias("at"), first["slots"].alias("slots")), add, said))
     verbatim = F.array_distinct(F.flatten(F.transform(F.filter(runs, lambda r: r["same"]), lambda r: r["at"])))
-    return F.concat(each, F.array(F.struct(F.size(verbatim).alias("n"), F.lit(True).alias("same"))))
+    return F.concat(each, F.array(F.struct(verbatim.alias("at"), F.lit(True).alias("same"))))
+
+
+def _share(taken: Column, coverage: float) -> Column:
+    """(share, same) of windows that agree: of all windows of the item or of its templates, whichever is more; 0 below ``coverage``."""
+    n = F.size(taken["at"])
+    of = F.size(F.array_except(taken["at"], F.col("exact_at")))
+    share = F.greatest(n / F.col("total"), F.when(F.col("templates") > 0, of / F.col("templates")).otherwise(F.lit(0.0)))
+    return F.struct(F.when((n > 0) & (share >= coverage), share).otherwise(F.lit(0.0)).alias("share"), taken["same"].alias("same"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -199,8 +235,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     found = found.groupBy("doc_id", "tie").agg(
         F.count("*").alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"), F.max("share").alias("best_share"), F.sum(F.col("renamed").cast("long")).alias("n_renamed")
     ).withColumnsRenamed({"doc_id": "f_id", "tie": "f_tie"})
-    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie.alias("tie"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tie().alias("tie"))
     out = rows.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("tie") == F.col("f_tie")), "left")
     none = F.array().cast("array<long>")
     return out.select(
@@ -210,7 +245,8 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    found = matches(docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct()
-    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_anti")
+    """``docs`` without the documents that hold a benchmark item; rows are packed meanwhile, so no name of a column can clash."""
+    found = matches(docs, benchmark, **options).select("doc_id", "tie").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tie().alias("tie"), packed(docs).alias("row"))
+    on = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["tie"] == found["tie"])
+    return unpacked(rows.join(found, on, "left_anti"))
