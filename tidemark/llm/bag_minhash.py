@@ -9,10 +9,12 @@ points before a limit are made; the limit is raised for a document until all its
 Banding: ``bands`` of ``rows`` registers; at 0.8 a link is missed by all 25 bands of 5 with probability 5e-5. Candidates of a bucket
 are first checked against its best connected member only (a star, no pairs within the group), verified by the exact multiset overlap;
 what components then still meet in a bucket is checked across components, in tiles. So no candidate link between different components
-is left out, and copies are never expanded into pairs.
+is left out, and copies are never expanded into pairs. Joins on a bucket, a leader, a text or a class salt the keys that hold a
+thousandth of the rows or more (``spread_join``).
 
 Defined cases: a null text counts as the empty text; equal texts are always one class, also those without words; texts without words
-are otherwise near nothing; a null doc_id is the least id; equal rows share their class; other columns are ignored.
+are otherwise near nothing; a null doc_id is the least id; equal rows share their class; texts are read whole; other columns are
+ignored, and ``drop_near_duplicates`` keeps them whatever their names (of rows equal in id and text the one of least hash stays).
 """
 
 from __future__ import annotations
@@ -27,13 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import NULL_ID, keyed, whole_windows
-from tidemark.llm.common import RollingHash, fmix64, gathered, materialise, text_buffer
+from tidemark.llm.common import RollingHash, fmix64, gathered, materialise, packed, spread_join, text_buffer, unpacked
 from tidemark.llm.components import components
 from tidemark.llm.word_windows import word_hashes
 
 REGISTERS = 128
 BATCH = 1 << 20
-TILE = 256
+#: Members of one side of a tile, and the bytes of their texts.
+TILE, TILE_BYTES = 256, 4 << 20
+#: Pairs that one copy of a leader's text is held against.
+STAR = 64
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLES = RollingHash(0xD1342543DE82EF95)
 
@@ -124,7 +129,7 @@ def bag_of(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(doc_key, tie, node, bands, sketch) of every document; node is the digest of the text."""
+    """(doc_key, tie, node, bands, sketch, bytes) of every document; node is the digest of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, BATCH):
@@ -139,25 +144,24 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 [
                     batch.column("doc_key"), batch.column("tie"), pa.array(node, pa.binary()),
                     pa.array([list(x) if h else [] for x, h in zip(made, has, strict=True)], pa.list_(pa.int64())),
-                    pa.array([x.tobytes() for x in small], pa.binary()),
+                    pa.array([x.tobytes() for x in small], pa.binary()), pa.array(np.diff(at), pa.int64()),
                 ],
-                ["doc_key", "tie", "node", "bands", "sketch"],
+                ["doc_key", "tie", "node", "bands", "sketch", "bytes"],
             )
 
-    return docs.mapInArrow(run, "doc_key long, tie long, node binary, bands array<long>, sketch binary")
+    return docs.mapInArrow(run, "doc_key long, tie long, node binary, bands array<long>, sketch binary, bytes long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
     """Pairs (a, b) whose sketches agree in ``threshold - margin`` of the registers and whose texts have that multiset overlap.
 
-    ``b`` may be in very many pairs: it is dealt out salted.
+    ``pairs`` has n, about the number of pairs of b. As b may be in very many, its pairs are dealt out in lots of some ``STAR`` by (b, salt),
+    and its text is sent to each lot once.
     """
-    pairs = materialise(pairs, "star-pairs")
-    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / 64).cast("int").alias("salts"))
-    far = texts.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("text").alias("tb")).join(salts, "b")
-    far = far.select("b", "sb", "tb", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    near = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
-    near = near.join(texts.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("text").alias("ta")), "a")
+    salt = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / STAR)).cast("int").alias("salt")
+    pairs = materialise(pairs.select("a", "b", salt), "star-pairs")
+    far = pairs.select("b", "salt").distinct().join(texts.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("text").alias("tb")), "b")
+    near = pairs.join(texts.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("text").alias("ta")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bag = functools.lru_cache(64)(bag_of)
@@ -184,21 +188,23 @@ def first_labels(links: DataFrame) -> DataFrame:
     return now
 
 
-def across(met: DataFrame, label: DataFrame, texts: DataFrame, threshold: float, margin: float = 0.12) -> DataFrame:
+def across(met: DataFrame, label: DataFrame, texts: DataFrame, total: int, threshold: float, margin: float = 0.12) -> DataFrame:
     """Links (a, b) between nodes of different labels that share a bucket.
 
     Members of the smaller labels of a bucket are held against all others of it in square tiles, so no task has more than two
-    blocks of ``TILE`` documents, and only links leave it. A pair is looked at in the first band that it shares, if its sketches agree
+    blocks of some ``TILE`` documents and ``TILE_BYTES`` of text, and only links leave it. A pair is looked at in the first band that it shares, if its sketches agree
     in ``threshold - margin`` of the registers (3.4 deviations), and verified exactly unless the tile already joined its components.
     """
-    known = met.join(label, "node", "left").select("band", "hash", "node", F.coalesce("label", "node").alias("label"))
-    by_label = known.groupBy("band", "hash", "label").agg(F.count("*").alias("n"))
-    mixed = by_label.groupBy("band", "hash").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("labels"))
-    blocks = lambda n: F.ceil(n / TILE).cast("int")
-    mixed = mixed.filter("labels > 1").select("band", "hash", F.col("main.label").alias("main"), blocks(F.col("all")).alias("nb"), blocks(F.col("all") - F.col("main.n")).alias("mb"))
-    known = materialise(known.join(mixed, ["band", "hash"]), "mixed")
+    known = met.join(label, "node", "left").select("band", "hash", "node", "bytes", F.coalesce("label", "node").alias("label"))
+    known = materialise(known, "labelled")
+    by_label = known.groupBy("band", "hash", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    mixed = by_label.groupBy("band", "hash").agg(F.max(F.struct("n", "label", "bytes")).alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("labels"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / TILE), F.ceil(size / TILE_BYTES)).cast("int")
+    nb, mb = blocks(F.col("n"), F.col("bytes")).alias("nb"), blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("mb")
+    mixed = materialise(mixed.filter("labels > 1").select("band", "hash", F.col("main.label").alias("main"), "n", nb, mb), "mixed-sizes")
+    known = materialise(spread_join(known.drop("bytes"), mixed, ["band", "hash"], total).drop("n"), "mixed")
     at = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
     small = known.filter(F.col("label") != F.col("main")).select("band", "hash", "node", "label", at(F.col("mb")).alias("i"), each(F.col("nb")).alias("j"), F.lit(True).alias("minor"), "main")
     whole = known.select("band", "hash", "node", "label", each(F.col("mb")).alias("i"), at(F.col("nb")).alias("j"), F.lit(False).alias("minor"), "main")
     rows = small.unionByName(whole).join(texts, "node")
@@ -241,25 +247,29 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 25, rows:
     """(doc_key, tie, class_key, class_tie) of every document: the least document of its class."""
     docs = keyed(docs)
     signed = materialise(sign(docs, bands, rows), "signatures")
-    nodes = signed.groupBy("node").agg(F.min_by(F.struct("doc_key", "tie", "bands", "sketch"), F.struct("doc_key", "tie")).alias("r")).select("node", "r.*")
-    nodes = materialise(nodes, "nodes")
-    places = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    size = places.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
-    met = materialise(places.join(size, ["band", "hash"]), "met")
+    first = F.min_by(F.struct("doc_key", "tie", "bands", "sketch", "bytes"), F.struct("doc_key", "tie")).alias("r")
+    nodes = materialise(signed.groupBy("node").agg(first, F.count("*").alias("copies")).select("node", "copies", "r.*"), "nodes")
+    counted = nodes.agg(F.count("*").alias("n"), F.sum("copies").alias("rows")).collect()[0]
+    # Buckets of a thousandth of all texts are salted: under 1,000 a band.
+    total = counted.n
+    places = nodes.select("node", "bytes", F.posexplode("bands").alias("band", "hash"))
+    size = materialise(places.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
+    met = materialise(spread_join(places, size, ["band", "hash"], total), "met")
     degree = met.groupBy("node").agg(F.sum("n").alias("degree"))
     # Texts of the nodes that share a bucket; the rest is done with.
     texts = docs.join(nodes.join(degree, "node"), ["doc_key", "tie"]).select("node", "degree", "bands", "sketch", "text").dropDuplicates(["node"])
     texts = materialise(texts, "met-texts")
-    leader = met.join(texts.select("node", "degree"), "node").groupBy("band", "hash").agg(F.max(F.struct("degree", "node")).getField("node").alias("b"))
-    star = met.join(leader, ["band", "hash"]).filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
+    leader = met.join(texts.select("node", "degree"), "node").groupBy("band", "hash").agg(F.max(F.struct("degree", "node")).getField("node").alias("b"), F.max("n").alias("n"))
+    star = spread_join(met.select("node", "band", "hash"), materialise(leader, "leaders"), ["band", "hash"], total)
+    star = star.filter(F.col("node") != F.col("b")).groupBy(F.col("node").alias("a"), "b").agg(F.max("n").alias("n"))
     texts = texts.drop("degree")
     links = verify(star, texts, threshold)
-    links = links.union(across(met, first_labels(links), texts, threshold))
+    links = links.union(across(met, first_labels(links), texts, total, threshold))
     label = materialise(components(links), "labels")
-    of = nodes.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.struct("doc_key", "tie").alias("r"))
-    least = of.groupBy("label").agg(F.min("r").alias("r"))
-    of = of.select("node", "label").join(least, "label").select("node", F.col("r.doc_key").alias("class_key"), F.col("r.tie").alias("class_tie"))
-    return signed.select("doc_key", "tie", "node").join(of, "node").select("doc_key", "tie", "class_key", "class_tie")
+    of = materialise(nodes.join(label, "node", "left").select("node", "copies", F.coalesce("label", "node").alias("label"), F.struct("doc_key", "tie").alias("r")), "labelled-nodes")
+    least = materialise(of.groupBy("label").agg(F.min("r").alias("least"), F.count("*").alias("n")), "classes")
+    of = spread_join(of, least, ["label"], total).select("node", F.col("copies").alias("n"), F.col("least.doc_key").alias("class_key"), F.col("least.tie").alias("class_tie"))
+    return spread_join(signed.select("doc_key", "tie", "node"), of, ["node"], counted.rows or 0).select("doc_key", "tie", "class_key", "class_tie")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -271,11 +281,15 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class."""
-    classes = materialise(near_classes(docs, **options), "near-classes")
+    classes = near_classes(docs, **options)
     first = classes.filter((F.col("doc_key") == F.col("class_key")) & (F.col("tie") == F.col("class_tie")))
-    keep = first.select(F.col("doc_key").alias("__key"), F.col("tie").alias("__tie")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = docs.join(keep, (key == F.col("__key")) & (tie == F.col("__tie")), "left_semi")
+    first = materialise(first.groupBy("doc_key", "tie").agg(F.count("*").alias("copies")), "near-classes")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_key")
+    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("tie")
+    rows = docs.select(key, tie, packed(docs).alias("row")).join(first, ["doc_key", "tie"])
     # Equal rows all pass; only then is one of them picked.
-    return out.dropDuplicates(["doc_id", "text"]) if first.count() > keep.count() else out
+    alone = rows.filter("copies = 1").select("row")
+    if first.filter("copies > 1").limit(1).count():
+        order = F.xxhash64(F.to_json("row"))
+        alone = alone.union(rows.filter("copies > 1").groupBy("doc_key", "tie").agg(F.min_by("row", order).alias("row")).select("row"))
+    return unpacked(alone)

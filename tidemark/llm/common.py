@@ -38,6 +38,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], total: int, n: str = "n") -> DataFrame:
+    """``big`` joined to ``small``, which has one row a key with the number ``n`` of its rows in ``big``; keys with many are salted.
+
+    A key is hot from a thousandth of the ``total`` rows of ``big`` on, so there are under 1,000 hot keys whatever the input; only those
+    are broadcast, to tell both sides how many salts a key has.
+    """
+    limit = max(64, total // 1000)
+    salts = F.ceil(F.col(n) / limit).cast("int")
+    hot = F.broadcast(small.filter(F.col(n) > limit).select(*keys, salts.alias("__salts")))
+    left = big.join(hot, keys, "left").withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.coalesce("__salts", F.lit(1))).cast("int")).drop("__salts")
+    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.when(F.col(n) > limit, salts).otherwise(1) - 1)))
+    return left.join(right, [*keys, "__salt"]).drop("__salt")
+
+
 def packed(df: DataFrame) -> Column:
     """All columns of a row in one struct, whatever their names."""
     return F.struct(*[F.col(quoted(c)) for c in df.columns])

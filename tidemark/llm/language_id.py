@@ -2,11 +2,13 @@
 
 Character n-grams of orders 1 to 3 of the lower-cased text are hashed to ``WIDTH`` features. Document frequencies are counted over
 all training documents. Weights are fitted by follow-the-regularised-leader (per-coordinate steps, elastic-net penalty) on a bounded
-sample, ``per_class`` documents a language by lowest hash rank, and scores are calibrated by one temperature on documents that
-were kept out of the fit.
+sample, ``per_class`` documents a language by lowest hash rank and ``sample_rows`` in all, and scores are calibrated by one temperature
+on documents that were kept out of the fit.
 
 Defined cases: a null text or one without any letter is ``und`` with score 0; documents without a language are not learned from;
-with no labelled document at all every text is ``und``; repeated rows are each predicted; other columns are ignored.
+with no labelled document at all every text is ``und``; repeated rows are each predicted; texts are read whole; other columns are ignored
+whatever their names. ``accept`` drops ``und`` texts and those of a score near chance; where there are no labels, or the model does no
+better than chance on documents kept out of the fit, scores say nothing and only texts without a letter go.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import gathered, materialise
@@ -63,8 +65,8 @@ def chunks(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
 
 
 class Model:
-    def __init__(self, classes: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float):
-        self.classes, self.idf, self.weights, self.bias, self.temperature = classes, idf, weights, bias, temperature
+    def __init__(self, classes: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float, informed: bool = False):
+        self.classes, self.idf, self.weights, self.bias, self.temperature, self.informed = classes, idf, weights, bias, temperature, informed
 
     def features(self, raw: np.ndarray) -> np.ndarray:
         """Unit TF-IDF rows, in the place of the counts."""
@@ -117,20 +119,30 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
+def better_than_chance(said: np.ndarray, y: np.ndarray) -> bool:
+    """Whether hits exceed those of always naming the most frequent class by three standard errors."""
+    if not len(y):
+        return False
+    chance = np.bincount(y).max() / len(y)
+    return float((said == y).sum()) > len(y) * chance + 3 * np.sqrt(len(y) * chance * (1 - chance))
+
+
 def fold() -> F.Column:
     """crc32 of the id as text, modulo 4."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1, 3)) -> Model:
-    """Fit on ``docs`` (doc_id, text, lang) of the given folds; ``per_class`` bounds the labelled rows the driver gets."""
+def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1, 3), sample_rows: int = 4000) -> Model:
+    """Fit on ``docs`` (doc_id, text, lang) of the given folds; ``per_class`` and ``sample_rows`` bound the labelled rows the driver gets."""
     spark = docs.sparkSession
+    docs = docs.select("doc_id", "text", "lang")
     rank = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40))
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & fold().isin(*folds))
     rows = rows.select("text", F.col("lang").cast("string").alias("lang"), rank.alias("rank"))
     by_lang = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not by_lang:
         return Model([], np.ones(WIDTH, np.float32), np.zeros((WIDTH, 0)), np.zeros(0), 1.0)
+    per_class = max(8, min(per_class, sample_rows // len(by_lang)))
     # About half as many again as wanted pass; the exact bound is applied when they are sorted.
     share = spark.createDataFrame([(k, int(min(1.0, 1.5 * per_class / n + 40 / n) * (1 << 40))) for k, n in by_lang.items()], "s_lang string, top long")
 
@@ -169,11 +181,12 @@ def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1,
 
     slices = part.groupBy("slice").applyInArrow(added, "slice int, n long, df array<long>").collect()
     df, n = np.concatenate([np.array(r.df) for r in sorted(slices)]), slices[0].n
+    # A language has some hundred rows here, so its window is small.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "made"))
+    got = made.filter("rank >= 0").withColumn("place", place).filter(F.col("place") <= per_class).collect()
     sample: dict[str, list] = {}
-    for lang in sorted(by_lang):
-        got = made.filter((F.col("rank") >= 0) & (F.col("lang") == lang)).orderBy("rank", "made").limit(per_class).collect()
-        if got:
-            sample[lang] = [bytes(r.made) for r in got]
+    for r in sorted(got, key=lambda r: (r.lang, r.place)):
+        sample.setdefault(r.lang, []).append(bytes(r.made))
     classes = list(sample)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
     model = Model(classes, idf, np.zeros((WIDTH, len(classes)), np.float32), np.zeros(len(classes), np.float32), 1.0)
@@ -190,37 +203,38 @@ def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1,
     fit = np.flatnonzero(~aside) if aside.any() else np.arange(len(y))
     model.weights, model.bias = ftrl(x, y, fit, len(classes))
     if aside.any():
-        model.temperature = temperature(x[aside] @ model.weights + model.bias, y[aside])
+        z = x[aside] @ model.weights + model.bias
+        model.temperature = temperature(z, y[aside])
+        model.informed = better_than_chance(z.argmax(1), y[aside])
     return model
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """(doc_id, lang_pred, score, *keep) of every document; only its text is looked at."""
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, lang_pred, score) of every document; only its text is looked at."""
     model_b = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH numbers a language
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
-    names = ["doc_id", *keep]
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name in names)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, _BATCH):
             said, scores = model_b.value.predict(batch.column("text").to_pylist())
-            cols = [batch.column(x) for x in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(said, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(said, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    ordered = ", ".join([*(t for x in names for t in types.split(", ") if t.startswith(f"`{x}` ")), "lang_pred string", "score double"])
-    return narrow.mapInArrow(run, ordered)
+    return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def accept(docs: DataFrame, model: Model, over_chance: float = 1.2) -> DataFrame:
-    """``docs``, all columns, without what is ``und`` or scored under ``over_chance`` times an even split over the languages."""
-    least = over_chance / max(len(model.classes), 2)
+def accept(docs: DataFrame, model: Model, over_chance: float = 1.2, least: float = 0.25) -> DataFrame:
+    """``docs``, all columns, without what is ``und`` or scored under ``least`` or ``over_chance`` times an even split over the languages."""
     model_b = docs.sparkSession.sparkContext.broadcast(model)
-    if "text" not in docs.columns:
-        raise ValueError("documents need a text")
+    gate = max(least, over_chance / max(len(model.classes), 2)) if model.informed and len(model.classes) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, _BATCH):
-            said, scores = model_b.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([a != UNKNOWN and s >= least for a, s in zip(said, scores, strict=True)], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            if gate:
+                said, scores = model_b.value.predict(texts)
+                keep = [a != UNKNOWN and s >= gate for a, s in zip(said, scores, strict=True)]
+            else:
+                keep = [has_letter(t) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
