@@ -237,4 +237,6 @@ def accept(docs: DataFrame, model: Model, over_chance: float = 1.2, least: float
                 keep = [has_letter(t) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Numbered meanwhile, as names may hold dots.
+    plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
