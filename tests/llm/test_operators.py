@@ -11,7 +11,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
+import xxhash
 
+from tests.llm import made_pages
 from tidemark.llm import bag_minhash, byte_repeats, components, decontaminate, language_id, mixing, pii, secrets, token_output, weighted_fingerprints, word_windows
 from tidemark.llm.queries import tokenizer_path
 from tidemark.session import work_dir
@@ -233,6 +235,20 @@ def test_pii_model_is_accurate_on_unseen_examples():
     assert picked[y].mean() >= 0.4
 
 
+def test_pii_on_pages_that_others_made():
+    model = pii.trained()
+    for kind, (precision, recall) in made_pages.measured(lambda t: pii.scan(t, model)[5], pii.ADDED, 800).items():
+        assert precision >= 0.97 and recall >= 0.7, (kind, precision, recall)
+
+
+def test_pii_is_linear():
+    model = pii.trained()
+    start = time.monotonic()
+    for unit in ("1", "1.", "1-", "a@", "+1 ", "(1", "1 at ", "a.", "1:", "DE12 ", "(at)", "1/", "@", "a at b dot "):
+        pii.scan(unit * (150000 // len(unit)), model)
+    assert time.monotonic() - start < 90
+
+
 def test_pii_added_spans():
     model = pii.trained()
     text = "please call my iban DE89 3704 0044 0532 0130 00 today; mail me at jo (at) example (dot) com"
@@ -361,6 +377,43 @@ def test_weighted_fingerprints(docs, rows, empty):
     assert weighted_fingerprints.fingerprint(empty).count() == 0
 
 
+def samples_by_hand(text, slots=32):
+    """The (term, level) that each slot keeps: the least score of consistent weighted sampling over the words' counts."""
+    hashes = lambda h, i: xxhash.xxh64_intdigest(i.to_bytes(4, "little"), xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42))
+    out = []
+    bag = collections.Counter(WORD.findall(text))
+    for k in range(slots):
+        best = None
+        for word, n in bag.items():
+            h = xxhash.xxh64_intdigest(word.encode(), 42)
+            one, two, three = (hashes(h, 3 * k + i) for i in range(3))
+            unit = lambda x: (x + 0.5) / 2**32
+            r = -np.log(unit(one & 0xFFFFFFFF) * unit(one >> 32))
+            c = -np.log(unit(two & 0xFFFFFFFF) * unit(two >> 32))
+            b = unit(three & 0xFFFFFFFF)
+            q = np.floor(np.log(n) / r + b) if n > 1 else 0.0
+            score = np.log(c) - r * (q - b + 1)
+            best = min(best, (score, word, q)) if best else (score, word, q)
+        out.append(best[1:] if best else None)
+    return out
+
+
+def test_fingerprints_equal_brute_force(docs, rows):
+    got = by_id(weighted_fingerprints.fingerprint(docs))
+    order = sorted(((-1 if r[0] is None else r[0], r[1] or "") for r in rows), reverse=True)
+    seen = 0
+    for i, (d, text) in enumerate(order):
+        if len(got[None if d == -1 else d]) > 1 or len(text) > 2500 or i + 1 == len(order) or len(order[i + 1][1]) > 2500:
+            continue
+        nxt, g = order[i + 1][1], got[None if d == -1 else d][0]
+        half = len(text) // 2
+        mine, edited, after = (samples_by_hand(x) for x in (text, text[: len(text) - half] + nxt[:half], nxt))
+        assert g.near_edited == np.mean([a == b for a, b in zip(mine, edited, strict=True)])
+        assert g.near_next == np.mean([a == b for a, b in zip(mine, after, strict=True)])
+        seen += 1
+    assert seen > 100
+
+
 def test_fingerprint_error_at_half_likeness(spark):
     rows = [(i, " ".join(f"w{j}" for j in range(20 * i, 20 * i + 60))) for i in range(500)]
     got = weighted_fingerprints.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id > 0").collect()

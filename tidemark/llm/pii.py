@@ -13,6 +13,7 @@ repeated rows are each scanned; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -41,9 +42,9 @@ _GENERATORS = {
     "email_spelled": re.compile(r"(?i)\b[a-z0-9._%+-]{2,40}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[a-z0-9-]{2,40}\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[a-z]{2,10}\b"),
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}[-\x20][0-9]{2}[-\x20][0-9]{4}(?![0-9-])"),
-    "birth_date": re.compile(r"(?<![0-9/.-])(?:[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9/.-])"),
-    "phone_plain": re.compile(r"(?<![0-9+(.-])\(?[0-9]{2,4}\)?[-.\x20/][0-9]{3,4}[-.\x20][0-9]{3,4}(?![0-9.-])"),
-    "card_grouped": re.compile(r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9.])"),
+    "birth_date": re.compile(r"(?<![0-9/.-])(?:[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9]|[/.-][0-9])"),
+    "phone_plain": re.compile(r"(?<![0-9+(.-])\(?[0-9]{2,4}\)?[-.\x20/]{1,2}[0-9]{3,4}[-.\x20][0-9]{3,4}(?![0-9]|[.-][0-9])"),
+    "card_grouped": re.compile(r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9]|[./_-][0-9])"),
     "ip6": re.compile(r"(?i)(?<![0-9a-f:])(?:[0-9a-f]{1,4}:){3,7}(?::?[0-9a-f]{1,4})(?![0-9a-f:])"),
 }
 _SPELLED_END = re.compile(r"(?i)(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[a-z0-9-]{2,40}\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[a-z]{2,10}\b")
@@ -56,6 +57,8 @@ _CUES = {
     "card_grouped": "card visa mastercard amex credit debit".split(),
     "ip6": "ip ipv6 host address server client".split(),
 }
+#: Common ends of a host name.
+_ENDINGS = frozenset("com org net edu gov info biz io co eu uk us de fr es it nl ch at be pl se ca au jp in br".split())
 _AGAINST = "version order invoice page isbn chapter section table figure part serial id ref commit build step ratio score total mac".split()
 
 
@@ -67,6 +70,13 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+#: Total length of an IBAN by country.
+IBAN_LENGTH = {
+    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28,
+    "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24,
+}
+
+
 def iban_ok(value: str) -> bool:
     s = value.replace(" ", "")
     if not 15 <= len(s) <= 34:
@@ -119,13 +129,17 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     cue = [any(w.startswith(c) for c in _CUES[kind]) for w in before[::-1]]
     against = [w in _AGAINST for w in before[::-1]]
     y = re.search(r"(?:19|20)[0-9]{2}", s)
+    groups = [float(len(g)) for g in re.findall("[0-9]+", s)] or [0.0]
     return [
         float(KINDS.index(kind)), len(s), len(digits), len(digits) / len(s), len(set(digits)), float(luhn(digits)) if digits else 0.0,
         float(kind == "iban" and iban_ok(s)), float(s[:1] == "("), s.count("-"), s.count("."), s.count(" "), s.count(":") + s.count("/"),
         float(any(cue)), float(cue.index(True)) if any(cue) else 9.0, float(any(against)), float(against.index(True)) if any(against) else 9.0,
         float(any(w.startswith(c) for w in behind for c in _CUES[kind])), float(int(y.group())) if y else 0.0,
         float(start > 0 and text[start - 1] in ":#="), float(digits[:3] in ("000", "666") or digits[:1] == "9"), sum(c.isalpha() for c in s),
-        float(bool(re.search(r"\.\s", s))),
+        float(bool(re.search(r"\.\s", s))), float(kind == "iban" and IBAN_LENGTH.get(s[:2]) == len(s.replace(" ", ""))), float(s[0] in "({[" or any(c in s for c in "([{")),
+        float(kind == "ip6" and s.count(":") == 7 or "::" in s), float(any(c in "abcdef" for c in s.lower())),
+        groups[0], groups[min(1, len(groups) - 1)], groups[-1], float(len(groups)), float(s.startswith("0")),
+        float(kind == "email_spelled" and re.split("[^a-z]+", s.lower())[-1] in _ENDINGS),
     ]
 
 
@@ -139,55 +153,83 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int], list[str]]:
-    """Labelled candidates by rule: real formats in personal contexts, and look-alikes in others; a look-alike in a personal context has a form of its own."""
+def examples(n: int = 14000, seed: int = 3) -> tuple[list[list[float]], list[int], list[str]]:
+    """Labelled candidates by rule: real formats with a cue before, a cue behind or none, and look-alikes in other contexts.
+
+    How often a real one has no cue depends on how much its form says by itself; a look-alike in a personal context has a form of its own.
+    """
     rng = np.random.default_rng(seed)
-    filler = "the and of with in a to lore tionen eren over para den que les on thing was then".split()
-    d = lambda k: "".join(str(x) for x in rng.integers(0, 10, k))
     pick = lambda x: x[int(rng.integers(len(x)))]
+    whole = lambda lo, hi: int(rng.integers(lo, hi))
+    d = lambda k: "".join(str(x) for x in rng.integers(0, 10, k))
+    syllables = "an be cor du el fa gri ho is ju ke lin mo nur os pra re su tol un vi za".split()
+    word = lambda: "".join(pick(syllables) for _ in range(whole(1, 4)))
+    say = lambda k: " ".join(word() for _ in range(k))
+    alone = {"email_spelled": 0.45, "iban": 0.5, "ssn": 0.1, "birth_date": 0.03, "phone_plain": 0.15, "card_grouped": 0.5, "ip6": 0.5}
 
     def checked(body: str) -> str:
         return next(body + str(x) for x in range(10) if luhn(body + str(x)))
 
     def iban(ok: bool) -> str:
-        body = d(18)
-        check = 98 - int("".join(str(int(c, 36)) for c in body + "DE00")) % 97
-        return f"DE{(check if ok else (check + 1 + int(rng.integers(90))) % 97):02d}" + body
+        country = pick(sorted(IBAN_LENGTH))
+        body = pick(["", "", "ABNA", "BARC", "X"])
+        body += d(max(0, IBAN_LENGTH[country] - 4 - len(body) + (0 if ok or rng.random() < 0.5 else pick([-1, 1]))))
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        made = f"{country}{(check if ok else (check + 1 + whole(0, 90)) % 97):02d}" + body
+        return " ".join(made[i : i + 4] for i in range(0, len(made), 4)) if rng.random() < 0.5 else made
+
+    def date(first: int, last: int) -> str:
+        y, m, k, sep = whole(first, last), whole(1, 13), whole(1, 29), pick("./-")
+        return pick([f"{k:02d}{sep}{m:02d}{sep}{y}", f"{m}{sep}{k}{sep}{y}", f"{y}-{m:02d}-{k:02d}"])
 
     def shape(kind: str, real: bool, cued: bool) -> str:
         if kind == "email_spelled":
-            if real and rng.random() < 0.5:
-                return f"{pick(filler)}{d(int(rng.integers(0, 3)))}{pick('   \n')}{pick(['at', 'at', 'At', 'AT', '(at)', '(At)'])}{pick('   \n')}{pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))}{pick(['.', '.', ' dot ', ' dot\n'])}{pick(['com', 'org', 'de'])}"
-            return f"{pick(filler)}{d(int(rng.integers(0, 3)))} (at) {pick(['mail', 'example', 'post'])}{d(int(rng.integers(0, 2)))} (dot) {pick(['com', 'org', 'de'])}" if real or (not cued and rng.random() < 0.3) else f"{pick(filler)} at {pick(filler)}. {pick(filler)}"
+            end = pick(["com", "org", "de", "net", "fr", "io", word()])
+            if real:
+                at, dot = pick([(pick("([{") + pick(["at", "At", "AT"]), pick("([{") + pick(["dot", "Dot", "DOT"])), (pick([" at", " AT", "\nat"]), pick([" dot", " DOT", " dot\n"]))])
+                close = lambda x: x + {"(": ")", "[": "]", "{": "}"}.get(x[0], "")
+                gap = pick(["", " "])
+                at, dot = gap + close(at) + (gap or (" " if at[0] in " \n" else "")), gap + close(dot) + (gap or (" " if dot[0] in " \n" else ""))
+                return f"{word()}{pick(['', '.', '_'])}{pick(['', d(2)])}x{at}{word()}{d(whole(0, 2))}{pick([dot, dot, '.'])}{end}"
+            return f"{word()} at {word()}{pick(['. ', '. ', '.', ' dot '])}{word()}"
         if kind == "iban":
             return iban(real)
         if kind == "ssn":
-            area = f"{int(rng.integers(1, 899)):03d}" if real else pick(["000", "666", f"9{d(2)}", f"9{d(2)}" if cued else d(3)])
-            return f"{area}-{int(rng.integers(1, 99)):02d}-{d(4)}"
-        if kind == "birth_date" and cued and not real:
-            return f"{int(rng.integers(1, 28)):02d}/{int(rng.integers(1, 12)):02d}/{int(rng.integers(2030, 2099))}"
+            area = f"{whole(1, 666):03d}" if real else pick(["000", "666", f"9{d(2)}", f"9{d(2)}" if cued else d(3)])
+            return f"{area}-{whole(1, 99):02d}-{d(4)}"
         if kind == "birth_date":
-            return f"{int(rng.integers(1, 28)):02d}/{int(rng.integers(1, 12)):02d}/{int(rng.integers(1930, 2012) if real else rng.integers(1900, 2099))}"
-        if kind == "phone_plain" and cued and not real:
-            return pick([f"{d(4)}/{d(4)}-{d(4)}", f"{d(2)} {d(4)} {d(3)}", f"{d(4)}.{d(3)}.{d(3)}"])
+            return date(1925, 2013) if real else date(2030, 2099) if cued else date(1900, 2099)
         if kind == "phone_plain":
-            return f"({d(3)}) {d(3)}-{d(4)}" if rng.random() < 0.5 else f"{d(3)}-{d(3)}-{d(4)}"
+            if cued and not real:
+                return pick([f"{d(4)}/{d(4)}-{d(4)}", f"{d(2)} {d(4)} {d(3)}", f"{d(4)}.{d(3)}.{d(3)}"])
+            sep = pick("-. ")
+            return pick([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", f"0{d(3)} {d(3)} {d(4)}", f"0{d(2)}/{d(4)} {d(3)}"])
         if kind == "card_grouped":
-            number, sep = checked("4" + d(14)) if real else d(16), pick("./_")
-            if cued and not real and luhn(number):
+            number, sep = checked(pick(["4", "51", "53", "34", "6011"]).ljust(15, "x").replace("x", "")), pick("./_")
+            number = checked((number[:-1] + d(15))[:15]) if real else d(16)
+            if not real and luhn(number):
                 number = number[:-1] + str((int(number[-1]) + 1) % 10)
             return sep.join(number[i : i + 4] for i in range(0, 16, 4))
-        return ":".join(f"{int(rng.integers(0, 65536)):x}" for _ in range(8)) if real else ":".join(f"{d(2)}" for _ in range(6))
+        groups = [f"{whole(0, 65536):x}" for _ in range(8)]
+        if real and rng.random() < 0.3:
+            groups = [*groups[: whole(3, 6)], "", pick(groups)]
+        return ":".join(groups) if real else ":".join(pick([d(2), f"{whole(16, 256):x}"]) for _ in range(whole(4, 7)))
 
     rows, labels, kinds = [], [], []
     for i in range(n):
         kind, real = ADDED[i % len(ADDED)], bool(rng.random() < 0.5)
-        cue = pick(_CUES[kind]) if real or rng.random() < 0.05 else (pick(_AGAINST) if rng.random() < 0.6 else pick(filler))
-        if real and kind in ("iban", "card_grouped") and rng.random() < 0.4:
-            cue = pick(filler)
-        s = shape(kind, real, any(cue.startswith(c) for c in _CUES[kind]))
-        text = f"{' '.join(pick(filler) for _ in range(4))} {cue}{pick([' ', ': ', ' is ', ' me at ', f' {pick(filler)} ', f' {pick(filler)} {pick(filler)} '])}{s} {pick(filler)}"
-        got = [(k, a, b) for k, a, b in candidates(text) if k == kind]
+        by_self = real and rng.random() < alone[kind]
+        cued = (real and not by_self) or (not real and rng.random() < 0.1)
+        before = f"{say(whole(1, 5))}{pick([' ', '. ', ', ', chr(10)])}"
+        behind = pick([" ", ". ", ", ", "; ", "\n", ")"]) + say(whole(1, 4))
+        cue = pick(_CUES[kind]) if cued else pick(_AGAINST) if not real and rng.random() < 0.6 else word()
+        if cued and rng.random() < 0.15:
+            behind = f" {pick(['', '('])}{cue}{pick(['', ')'])} {say(2)}"
+        elif rng.random() < 0.9:
+            before += pick(["{}", "{}:", "{} is", "{} me at", "{} no.", "{} #", f"{{}} {word()}", f"{{}} {say(2)}", f"{word()} {{}} {word()}", f"{{}} {say(3)}"]).format(cue) + pick([" ", " ", "  "])
+        s = shape(kind, real, cued)
+        text = before + s + behind
+        got = [(k, a, b) for k, a, b in candidates(text) if k == kind and a <= len(before) < b]
         if got:
             rows.append(features(text, *got[0]))
             labels.append(int(real))
@@ -196,40 +238,41 @@ def examples(n: int = 6000, seed: int = 3) -> tuple[list[list[float]], list[int]
 
 
 class Trees:
-    """Gradient-boosted regression trees for log loss; depth 3, exact splits over quantile cuts."""
+    """Gradient-boosted regression trees for log loss; depth 4, exact splits over quantile cuts."""
 
-    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, least: float = 5.0):
+    def __init__(self, rounds: int = 60, depth: int = 4, rate: float = 0.2, least: float = 5.0):
         self.rounds, self.depth, self.rate, self.least, self.trees, self.start = rounds, depth, rate, least, [], 0.0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
         self.start = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
         cuts = [np.unique(np.quantile(c, np.linspace(0.05, 0.95, 16))) for c in x.T]
+        bins = np.stack([np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T, strict=True)], 1)
         z = np.full(len(y), self.start)
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-z))
-            tree = self._grow(x, y - p, p * (1 - p), cuts, self.depth)
+            tree = self._grow(bins, y - p, p * (1 - p), cuts, self.depth)
             z += self.rate * self._apply(tree, x)
             self.trees.append(tree)
         return self
 
-    def _grow(self, x, g, h, cuts, depth):
+    def _grow(self, bins, g, h, cuts, depth):
         leaf = float(g.sum() / (h.sum() + 1.0))
         if depth == 0:
             return leaf
         best = (1e-3, None, None)
         whole = g.sum() ** 2 / (h.sum() + 1.0)
         for j, c in enumerate(cuts):
-            for cut in c:
-                left = x[:, j] <= cut
-                gl, hl = g[left].sum(), h[left].sum()
-                gr, hr = g.sum() - gl, h.sum() - hl
-                gain = gl**2 / (hl + 1.0) + gr**2 / (hr + 1.0) - whole
-                if min(hl, hr) >= self.least / 20 and gain > best[0]:
-                    best = (gain, j, cut)
+            gl, hl = (np.cumsum(np.bincount(bins[:, j], w, len(c) + 1))[:-1] for w in (g, h))
+            gr, hr = g.sum() - gl, h.sum() - hl
+            gain = np.where(np.minimum(hl, hr) >= self.least / 20, gl**2 / (hl + 1.0) + gr**2 / (hr + 1.0) - whole, 0.0)
+            k = int(gain.argmax())
+            if gain[k] > best[0]:
+                best = (float(gain[k]), j, k)
         if best[1] is None:
             return leaf
-        left = x[:, best[1]] <= best[2]
-        return best[1], float(best[2]), self._grow(x[left], g[left], h[left], cuts, depth - 1), self._grow(x[~left], g[~left], h[~left], cuts, depth - 1)
+        _, j, k = best
+        left = bins[:, j] <= k
+        return j, float(cuts[j][k]), self._grow(bins[left], g[left], h[left], cuts, depth - 1), self._grow(bins[~left], g[~left], h[~left], cuts, depth - 1)
 
     def _apply(self, tree, x):
         if isinstance(tree, float):
@@ -268,11 +311,18 @@ class Model:
             return []
         p = self.probability([features(text, *c) for c in found])
         chosen = sorted((-q, s, e, k) for (k, s, e), q in zip(found, p, strict=True) if q >= self.thresholds[k])
-        taken = [(s, e) for _, s, e in base]
+        # Base spans may overlap each other, so they are joined first.
+        taken: list[tuple[int, int]] = []
+        for s, e in sorted((s, e) for _, s, e in base):
+            if taken and s < taken[-1][1]:
+                taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+            else:
+                taken.append((s, e))
         out = []
         for _, s, e, k in chosen:
-            if all(e <= a or s >= b for a, b in taken):
-                taken.append((s, e))
+            i = bisect.bisect_left(taken, (e, e))
+            if not i or taken[i - 1][1] <= s:
+                bisect.insort(taken, (s, e))
                 out.append((KINDS.index(k), s, e))
         return sorted(out)
 
