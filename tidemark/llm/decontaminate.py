@@ -85,27 +85,28 @@ def _rows(df: DataFrame, *keys: str) -> DataFrame:
     return made.select(*keys, plain.alias("raw"), F.transform("raw", coded).alias("code"))
 
 
-def _hashed(codes: list[Column], literal: int) -> Column:
-    """Struct (strict, loose, exact) of a window: its hash in either template, and whether it is hashed with its very tokens."""
-    size, need = F.lit(len(codes)), min(literal, len(codes))
-    plain = lambda kinds: reduce(lambda a, b: a + b, [F.when(_kind(c).isin(kinds), 1).otherwise(0) for c in codes])
-    enough = plain([0, _OPENS]) >= need
-    very = F.xxhash64(*[c.bitwiseAND(F.lit(~_KIND)) for c in codes], -size)
-    strict = F.when(enough, F.xxhash64(*[_strict(c) for c in codes], size)).otherwise(very)
-    loose = F.when(plain([0]) >= need, F.xxhash64(*[_loose(c) for c in codes], size)).otherwise(strict)
-    return F.struct(strict.alias("strict"), loose.alias("loose"), (~enough).alias("exact"))
-
-
 def _windows(rows: DataFrame, sizes: list[int], literal: int, *keys: str) -> DataFrame:
-    """One row a window of each size: keys, pos, size, strict, loose, exact. Each text is gone through once for all sizes."""
-    if not sizes:
-        return rows.select(*keys, F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("strict"), F.lit(0).cast("long").alias("loose"), F.lit(False).alias("exact")).limit(0)
-    at = rows.filter(F.size("code") >= sizes[0]).select(*keys, "code", F.posexplode("code").alias("pos", "head"))
-    part = [F.col("head"), *[F.get("code", F.col("pos") + i) for i in range(1, sizes[-1])]]
-    made = [F.when(F.col("pos") + s <= F.size("code"), F.struct(F.lit(s).alias("size"), _hashed(part[:s], literal).alias("h"))) for s in sizes]
-    if len(made) == 1:
-        return at.select(*keys, "pos", made[0].alias("w")).filter("w is not null").select(*keys, "pos", "w.size", "w.h.*")
-    return at.select(*keys, "pos", F.explode(F.array_compact(F.array(*made))).alias("w")).select(*keys, "pos", "w.size", "w.h.*")
+    """One row a place: keys, pos, and strict_n, loose_n and exact_n for each size n, null where a window doesn't fit.
+
+    exact tells that a window is short of literals and strict a hash of its very tokens; loose is null where that template is short of them.
+    A text is gone through once for all sizes. Windows are slices of arrays made once a text: spelled out token by token, the generated
+    code is too long to be compiled.
+    """
+    one = lambda f: F.transform("code", f)
+    flag = lambda most: one(lambda c: F.when(_kind(c) <= most, F.lit(1)).otherwise(0))
+    made = rows.filter(F.size("code") >= min(sizes, default=1)).select(
+        *keys, one(_strict).alias("st"), one(_loose).alias("lo"), one(lambda c: c.bitwiseAND(F.lit(~_KIND))).alias("very"), flag(_OPENS).alias("words"), flag(0).alias("plain")
+    )
+    at = made.select("*", F.posexplode("words").alias("pos", "head"))
+    part = lambda c, n: F.slice(c, F.col("pos") + 1, n)
+    count = lambda c, n: F.size(F.array_remove(part(c, n), F.lit(0)))
+    out = []
+    for n in sizes:
+        fits, need = F.col("pos") + n <= F.size("words"), min(literal, n)
+        strict = F.when(fits & (count("words", n) >= need), F.xxhash64(part("st", n), F.lit(n))).when(fits, F.xxhash64(part("very", n), F.lit(-n)))
+        loose = F.when(fits & (count("plain", n) >= need), F.xxhash64(part("lo", n), F.lit(n)))
+        out += [strict.alias(f"strict_{n}"), loose.alias(f"loose_{n}"), F.when(fits, count("words", n) < need).alias(f"exact_{n}")]
+    return at.select(*keys, "pos", *out)
 
 
 def _whole(rows: DataFrame, least: int, *keys: str) -> DataFrame:
@@ -128,16 +129,21 @@ def matches(
     n = F.size("code")
     items = items.filter(n >= least).withColumn("own", F.least(n, F.lit(window)))
     sizes = sorted(r.size for r in items.select(F.col("own").alias("size")).distinct().collect())  # at most window values
-    made = _windows(items, sizes, literal, "item", "own").filter("size = own")
+    made = _windows(items, sizes, literal, "item", "own")
+    own = lambda name: F.coalesce(*[F.when(F.col("own") == n, F.col(f"{name}_{n}")) for n in sizes], F.lit(None)).alias(name)
+    made = made.select("item", F.col("pos").alias("item_pos"), own("exact").cast("boolean").alias("exact"), own("strict").cast("long").alias("strict"), own("loose").cast("long").alias("loose"))
+    made = made.filter("strict is not null")
+    made = made.withColumn("loose", F.coalesce("loose", "strict"))
     one = lambda h, a, b: F.struct(F.col(h).alias("item_hash"), F.lit(a).alias("in_strict"), F.lit(b).alias("in_loose"))
     both = F.when(F.col("loose") == F.col("strict"), F.array(one("loose", True, True))).otherwise(F.array(one("strict", True, False), one("loose", False, True)))
-    wanted = materialise(made.select("item", F.col("pos").alias("item_pos"), "exact", F.explode(both).alias("w")).select("item", "item_pos", "exact", "w.*"), "benchmark-windows")
+    wanted = materialise(made.select("item", "item_pos", "exact", F.explode(both).alias("w")).select("item", "item_pos", "exact", "w.*"), "benchmark-windows")
     exact_at = F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_pos")))).alias("exact_at")
     total = wanted.groupBy("item").agg(F.count_distinct("item_pos").alias("total"), exact_at).withColumn("templates", F.col("total") - F.size("exact_at"))
     count = wanted.count()
     rows = _rows(docs, "doc_id", "tie")
     # Windows without an opening word have one hash in both templates.
-    found = _windows(rows, sizes, literal, "doc_id", "tie").select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array("strict", "loose"))).alias("hash"))
+    hashes = [F.col(f"{name}_{n}") for n in sizes for name in ("strict", "loose")] or [F.lit(None).cast("long")]
+    found = _windows(rows, sizes, literal, "doc_id", "tie").select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array(*hashes))).alias("hash"))
     if count <= broadcast_rows:
         hits = found.join(F.broadcast(wanted), F.col("hash") == F.col("item_hash"))
     else:
