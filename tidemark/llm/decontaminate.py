@@ -89,23 +89,25 @@ def _windows(rows: DataFrame, sizes: list[int], literal: int, *keys: str) -> Dat
     """One row a place: keys, pos, and strict_n, loose_n and exact_n for each size n, null where a window doesn't fit.
 
     exact tells that a window is short of literals and strict a hash of its very tokens; loose is null where that template is short of them.
-    A text is gone through once for all sizes. Windows are slices of arrays made once a text: spelled out token by token, the generated
-    code is too long to be compiled.
+    A text is gone through once for all sizes. Each step's columns are used more than once by the next, so they stay steps of their
+    own and the generated code short enough to be compiled.
     """
-    one = lambda f: F.transform("code", f)
-    flag = lambda most: one(lambda c: F.when(_kind(c) <= most, F.lit(1)).otherwise(0))
-    made = rows.filter(F.size("code") >= min(sizes, default=1)).select(
-        *keys, one(_strict).alias("st"), one(_loose).alias("lo"), one(lambda c: c.bitwiseAND(F.lit(~_KIND))).alias("very"), flag(_OPENS).alias("words"), flag(0).alias("plain")
-    )
-    at = made.select("*", F.posexplode("words").alias("pos", "head"))
-    part = lambda c, n: F.slice(c, F.col("pos") + 1, n)
-    count = lambda c, n: F.size(F.array_remove(part(c, n), F.lit(0)))
+    most = range(max(sizes, default=1))
+    at = rows.filter(F.size("code") >= min(sizes, default=1)).select(*keys, "code", F.posexplode("code").alias("pos", "head"))
+    at = at.select(*keys, "pos", (F.size("code") - F.col("pos")).alias("room"), F.col("head").alias("c0"), *[F.get("code", F.col("pos") + i).alias(f"c{i}") for i in most[1:]])
+    at = at.select(*keys, "pos", "room", *[F.col(f"c{i}") for i in most], *[_strict(F.col(f"c{i}")).alias(f"s{i}") for i in most])
+    at = at.select("*", *[F.when(_kind(F.col(f"c{i}")) == _OPENS, F.lit(_CALLED).cast("long")).otherwise(F.col(f"s{i}")).alias(f"l{i}") for i in most])
+    # 1 for a placeholder, whose low bits aren't 0 as those of a word are.
+    held = lambda c: F.shiftright(_kind(F.col(c)) + _KIND, 3)
+    total = lambda name, n: reduce(lambda a, b: a + b, [held(f"{name}{i}") for i in range(n)])
+    at = at.select("*", *[total(name, n).alias(f"{name}_{n}") for n in sizes for name in "sl"])
     out = []
     for n in sizes:
-        fits, need = F.col("pos") + n <= F.size("words"), min(literal, n)
-        strict = F.when(fits & (count("words", n) >= need), F.xxhash64(part("st", n), F.lit(n))).when(fits, F.xxhash64(part("very", n), F.lit(-n)))
-        loose = F.when(fits & (count("plain", n) >= need), F.xxhash64(part("lo", n), F.lit(n)))
-        out += [strict.alias(f"strict_{n}"), loose.alias(f"loose_{n}"), F.when(fits, count("words", n) < need).alias(f"exact_{n}")]
+        fits, spare = F.col("room") >= n, n - min(literal, n)
+        part = lambda name, n=n: [F.col(f"{name}{i}") for i in range(n)]
+        very = F.xxhash64(*[c.bitwiseAND(F.lit(~_KIND)) for c in part("c")], F.lit(-n))
+        strict = F.when(fits & (F.col(f"s_{n}") <= spare), F.xxhash64(*part("s"), F.lit(n))).when(fits, very)
+        out += [strict.alias(f"strict_{n}"), F.when(fits & (F.col(f"l_{n}") <= spare), F.xxhash64(*part("l"), F.lit(n))).alias(f"loose_{n}"), F.when(fits, F.col(f"s_{n}") > spare).alias(f"exact_{n}")]
     return at.select(*keys, "pos", *out)
 
 
@@ -142,8 +144,8 @@ def matches(
     count = wanted.count()
     rows = _rows(docs, "doc_id", "tie")
     # Windows without an opening word have one hash in both templates.
-    hashes = [F.col(f"{name}_{n}") for n in sizes for name in ("strict", "loose")] or [F.lit(None).cast("long")]
-    found = _windows(rows, sizes, literal, "doc_id", "tie").select("doc_id", "tie", "pos", F.explode(F.array_distinct(F.array(*hashes))).alias("hash"))
+    hashes = [h for n in sizes for h in (F.col(f"strict_{n}"), F.when(F.col(f"loose_{n}") != F.col(f"strict_{n}"), F.col(f"loose_{n}")))] or [F.lit(None).cast("long")]
+    found = _windows(rows, sizes, literal, "doc_id", "tie").select("doc_id", "tie", "pos", F.explode(F.array(*hashes)).alias("hash")).filter("hash is not null")
     if count <= broadcast_rows:
         hits = found.join(F.broadcast(wanted), F.col("hash") == F.col("item_hash"))
     else:
