@@ -55,9 +55,9 @@ def tokens(text: Column) -> Column:
 
 def coded(t: Column) -> Column:
     """Code of a token: its hash with the kind in the low bits; 0 is a plain word."""
-    first = F.left(t, F.lit(1))
-    kind = F.when(first == _NAME, _CALLED).when(first == _UNIT, _MEASURE).when(first == _FIRST, _OPENS).when(first.between("0", "9"), _NUM).otherwise(0)
-    plain = F.when(first.isin(_NAME, _UNIT, _FIRST), F.substring(t, 2, 1 << 30)).otherwise(t)
+    first = F.ascii(t)  # most tokens start with a letter, so that is asked first
+    kind = F.when(first > ord("9"), 0).when(first >= ord("0"), _NUM).when(first == ord(_NAME), _CALLED).when(first == ord(_UNIT), _MEASURE).when(first == ord(_FIRST), _OPENS).otherwise(0)
+    plain = F.when(first > ord(_FIRST), t).otherwise(F.substring(t, 2, 1 << 30))
     return F.xxhash64(plain).bitwiseAND(F.lit(~_KIND)).bitwiseOR(kind.cast("long"))
 
 
