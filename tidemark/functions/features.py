@@ -44,17 +44,33 @@ def _crossings(a, b, n) -> F.Column:
     return F.sum(F.when(F.signum(a) != F.signum(b), 1.0).otherwise(0.0)) / n
 
 
-def bank_q(df: DataFrame, keys: list[str]) -> DataFrame:
-    x, m, s, p, d, n = F.col("x"), F.col("m"), F.col("s"), F.col("p"), F.col("d"), F.count("x")
+def _q(x, m, ms, p, d) -> dict[str, F.Column]:
+    """Aggregates of bank Q over a window's samples x with their mean, mean plus deviation, sample before, and step."""
+    n = F.count(x)
     rms = F.sqrt(F.avg(x * x))
-    return _prepared(df, keys).groupBy(*keys).agg(
-        F.min(x).alias("min"), F.max(x).alias("max"), (F.max(x) - F.min(x)).alias("range"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"),
-        rms.alias("rms"), F.avg(F.abs(x)).alias("absmean"), F.avg(F.abs(x - m)).alias("mad"), _crossings(x - m, p - m, n).alias("mcr"),
-        _crossings(x, p, n).alias("zcr"), _share(x > 0).alias("pzero"), _share(x > m).alias("pmean"), _share(x > F.col("ms")).alias("psigma"),
-        (F.sum(F.when((x > F.col("ms")) & (p <= F.col("ms")), 1.0).otherwise(0.0)) / n).alias("pscr"),
-        (F.max(F.abs(x)) / F.greatest(rms, F.lit(1.0))).alias("crest"), F.coalesce(F.sqrt(F.avg(d * d)), F.lit(0.0)).alias("rds"),
-        F.coalesce(F.avg(F.abs(d)), F.lit(0.0)).alias("amdif"),
-    )
+    return {
+        "min": F.min(x), "max": F.max(x), "range": F.max(x) - F.min(x), "mean": F.avg(x), "std": F.stddev_pop(x), "rms": rms, "absmean": F.avg(F.abs(x)),
+        "mad": F.avg(F.abs(x - m)), "mcr": _crossings(x - m, p - m, n), "zcr": _crossings(x, p, n), "pzero": _share(x > 0), "pmean": _share(x > m), "psigma": _share(x > ms),
+        "pscr": F.sum(F.when((x > ms) & (p <= ms), 1.0).otherwise(0.0)) / n, "crest": F.max(F.abs(x)) / F.greatest(rms, F.lit(1.0)),
+        "rds": F.coalesce(F.sqrt(F.avg(d * d)), F.lit(0.0)), "amdif": F.coalesce(F.avg(F.abs(d)), F.lit(0.0)),
+    }
+
+
+def bank_q(df: DataFrame, keys: list[str]) -> DataFrame:
+    made = _q(*[F.col(c) for c in ("x", "m", "ms", "p", "d")])
+    return _prepared(df, keys).groupBy(*keys).agg(*[made[c].alias(c) for c in Q])
+
+
+def long_q(df: DataFrame, keys: list[str], axes: list[str]) -> DataFrame:
+    """(keys, axis, idx, feature, value) of bank Q over rows with one column an axis: rows are dealt and sorted once for all axes."""
+    whole, order = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("k")
+    df = df.select(*keys, "k", *[F.col(a).cast("double").alias(f"x{i}") for i, a in enumerate(axes)])
+    n = range(len(axes))
+    df = df.select("*", *[F.round(F.avg(f"x{i}").over(whole), 12).alias(f"m{i}") for i in n], *[F.stddev_pop(f"x{i}").over(whole).alias(f"s{i}") for i in n], *[F.lag(f"x{i}").over(order).alias(f"p{i}") for i in n])
+    made = [_q(F.col(f"x{i}"), F.col(f"m{i}"), F.round(F.col(f"m{i}") + F.col(f"s{i}"), 12), F.col(f"p{i}"), F.col(f"x{i}") - F.col(f"p{i}")) for i in n]
+    df = df.groupBy(*keys).agg(*[made[i][c].cast("double").alias(f"{c}_{i}") for i in n for c in Q])
+    each = [F.struct(F.lit(i).alias("axis"), F.lit(j).alias("idx"), F.lit(c).alias("feature"), F.col(f"{c}_{i}").alias("value")) for i in n for j, c in enumerate(Q)]
+    return df.select(*keys, F.explode(F.array(*each)).alias("f")).select(*keys, "f.*")
 
 
 def bank_s(df: DataFrame, keys: list[str]) -> DataFrame:

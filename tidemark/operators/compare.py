@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import features as bank
-from tidemark.operators.sequence import class_position, sliding
+from tidemark.operators.sequence import sliding
 
 EPS = 1e-9
 
@@ -84,24 +84,46 @@ def magnitude_blind(pairs: DataFrame, limit: float = 1.0) -> DataFrame:
 
 
 def window_rows(df: DataFrame, keys: list[str], axes: list[str], window: int, shift: int) -> DataFrame:
-    """(keys, win, axis, k, x): sliding windows over rows with class_pos and class_n, axes in long form."""
-    cut = sliding(df, window, shift)
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("axis"), F.col(a).cast("double").alias("x")) for i, a in enumerate(axes)])).alias("a")
-    return cut.select(*keys, "win", "k", each).select(*keys, "win", "k", "a.axis", "a.x")
+    """(keys, win, k, axes): sliding windows over rows with class_pos and class_n."""
+    return sliding(df.select(*keys, "class_pos", "class_n", *axes), window, shift).select(*keys, "win", "k", *axes)
 
 
 def source_outliers(df: DataFrame, axes: list[str], window: int, label: str = "label", source: str = "source", least: int = 3, limit: float = 1.5) -> DataFrame:
     """(label, source, n_own, n_rest, mean_d, verdict): windows of each source against those cut on all other sources together.
 
-    Windows of the rest are cut on the concatenation without the source, so rows are replicated once a source: the cost grows with
-    sources times rows and suits some tens of sources. Rows need ``session`` and ``pos`` for their order.
+    Windows of the rest are cut on the concatenation without the source, and their places differ by source, so a row is in one sequence
+    a source. Its place there is its place among all rows of the class less the rows of that source before it; both come from counts by
+    session, so the rows are ordered once, and are only multiplied as they are dealt to windows. The cost grows with sources times rows
+    and suits some tens of sources. Rows need ``session`` and ``pos`` for their order.
     """
     shift = max(1, window // 2)
-    names = df.select(F.col(source).alias("of")).distinct()
-    tagged = df.join(F.broadcast(names)).withColumn("own", F.col(source) == F.col("of"))
-    tagged = tagged.withColumn("part", F.struct(F.col(label).alias("l"), "of", "own"))
-    rows = window_rows(class_position(tagged, "part"), ["part"], axes, window, shift)
-    feats = bank.long_form(bank.bank_q(rows, ["part", "win", "axis"]), ["part", "win", "axis"], bank.Q)
+    keys = [F.col(label).alias("l"), F.col("session"), F.col(source).alias("src")]
+    counts = df.groupBy(*keys).agg(F.count("*").alias("c"))
+    names = counts.select("l", F.col("src").alias("of")).distinct()
+    # One row a class, session, source in it and source left out: how many rows of the sequence come before.
+    pairs = counts.join(names, "l")
+    pairs = pairs.select("l", "session", "src", "of", (F.col("src") == F.col("of")).alias("own"), "c")
+    sequence = Window.partitionBy("l", "of", "own")
+    pairs = pairs.withColumn("class_n", F.sum("c").over(sequence))
+    per_session = pairs.groupBy("l", "of", "own", "session").agg(F.sum("c").alias("c"))
+    so_far = sequence.orderBy("session").rowsBetween(Window.unboundedPreceding, -1)
+    per_session = per_session.select("l", "of", "own", "session", F.coalesce(F.sum("c").over(so_far), F.lit(0)).alias("before"))
+    places = pairs.join(per_session, ["l", "of", "own", "session"]).groupBy("l", "session", "src").agg(F.collect_list(F.struct("of", "own", "before", "class_n")).alias("seqs"))
+    # Inside a session: the place among rows of the class, and among those of the row's own source.
+    inside = Window.partitionBy("session", "l").orderBy("pos")
+    rows = df.select(*keys, "pos", *axes).withColumn("all_i", F.row_number().over(inside) - 1)
+    mine = Window.partitionBy("session", "l", "src").orderBy("pos")
+    several = counts.groupBy("l", "session").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    rows = rows.withColumn("own_i", F.row_number().over(mine) - 1)
+    rows = rows.join(places, ["l", "session", "src"]).select("l", "session", "pos", "src", "all_i", "own_i", *axes, F.explode("seqs").alias("q"))
+    if several and several > 1:
+        # A session of several sources: rows of the one left out that come before, by position.
+        left_out = F.sum(F.when(F.col("src") == F.col("q.of"), 1).otherwise(0)).over(Window.partitionBy("session", "l", "q.of").orderBy("pos"))
+        rows = rows.withColumn("i", F.when(F.col("q.own"), F.col("own_i")).otherwise(F.col("all_i") - left_out))
+    else:
+        rows = rows.withColumn("i", F.col("own_i"))
+    rows = rows.select(F.struct("l", "q.of", "q.own").alias("part"), (F.col("q.before") + F.col("i")).alias("class_pos"), F.col("q.class_n").alias("class_n"), *axes)
+    feats = bank.long_q(window_rows(rows, ["part"], axes, window, shift), ["part", "win"], axes)
     mom = feats.groupBy("part", "axis", "idx").agg(F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
     side = lambda own, p: mom.filter(F.col("part.own") == own).select(
         F.col("part.l").alias("label"), F.col("part.of").alias("source"), "axis", "idx", F.col("n").alias(f"{p}n"), F.col("m").alias(f"{p}m"), F.col("v").alias(f"{p}v")
@@ -123,9 +145,11 @@ def closest_class(test: DataFrame, train: DataFrame, klass: str) -> DataFrame:
     return made.crossJoin(F.broadcast(least)).withColumn("closest", F.col(klass) == F.col("best")).drop("best")
 
 
-def std_envelope(rows: DataFrame, keys: list[str]) -> DataFrame:
+def std_envelope(rows: DataFrame, keys: list[str], axes: list[str]) -> DataFrame:
     """Median and 95th percentile of window deviations by (keys, axis)."""
-    made = rows.groupBy(*keys, "win", "axis").agg(F.stddev_pop("x").alias("s"))
+    made = rows.groupBy(*keys, "win").agg(*[F.stddev_pop(F.col(a).cast("double")).alias(f"s{i}") for i, a in enumerate(axes)])
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("axis"), F.col(f"s{i}").alias("s")) for i in range(len(axes))])).alias("x")
+    made = made.select(*keys, each).select(*keys, "x.*")
     return made.groupBy(*keys, "axis").agg(F.percentile("s", 0.5).alias("median_std"), F.percentile("s", 0.95).alias("p95_std"))
 
 

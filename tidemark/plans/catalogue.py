@@ -530,7 +530,7 @@ select label, {R('mean_d')} as mean_d, {R('median_d')} as median_d, {R('max_d')}
 )
 def closest_class(spark, sf):
     rows = _split_rows(spark, sf)
-    long = bank.long_form(bank.bank_q(rows, ["part", "win", "axis"]), ["part", "win", "axis"], bank.Q)
+    long = bank.long_q(rows, ["part", "win"], SENSORS)
     return compare.closest_class(long.filter("part = 'test'"), long.filter("part <> 'test'").withColumnRenamed("part", "label"), "label")
 
 
@@ -539,7 +539,7 @@ def closest_class(spark, sf):
 select part, axis::bigint as axis, {R('quantile_cont(s,0.5)')} as median_std, {R('quantile_cont(s,0.95)')} as p95_std from s group by part, axis"""
 )
 def std_envelope(spark, sf):
-    return compare.std_envelope(_split_rows(spark, sf), ["part"])
+    return compare.std_envelope(_split_rows(spark, sf), ["part"], SENSORS)
 
 
 # Events
@@ -581,11 +581,30 @@ def _signal(spark, sf) -> DataFrame:
     return df.select("label", F.col("class_pos").alias("pos"), F.col("class_n").alias("n"), F.col("extendedprice").alias("x"))
 
 
-_ENV = f"""{LI}, {CP.format('label', 'li')}, sg as (select label, class_pos as pos, class_n as n, extendedprice as x from cp), c0 as (select *, x-avg(x) over (partition by label) as c from sg),
-en as (select *, case when pos<n-18 and n>19 then sqrt(min(c) over w**2+max(c) over w**2) end as env from c0 window w as (partition by label order by pos rows between current row and 18 following)),
-on_ as (select *, env>0.5*avg(env) over (partition by label) as o from en where env is not null), sc as (select *, case when lag(o) over (partition by label order by pos) is not distinct from o then 0 else 1 end as ch from on_),
-si as (select *, sum(ch) over (partition by label order by pos) as sid from sc),
-sgm as (select label, min(pos)+1+9 as start_, case when max(pos)+1<any_value(n)-18 then max(pos)+2 else any_value(n)-18 end+9 as end_ from si where o group by label, sid)""".replace("min(c) over w**2", "(min(c) over w)**2").replace("max(c) over w**2", "(max(c) over w)**2")
+def _env_sql(source: str, by: str) -> str:
+    """From sg (by, pos, n, x) to en (with c, env) and segments sgm (by, start_, end_)."""
+    return f"""{source}, c0 as (select *, x-avg(x) over (partition by {by}) as c from sg),
+en as (select *, case when pos<n-18 and n>19 then sqrt((min(c) over w)**2+(max(c) over w)**2) end as env from c0 window w as (partition by {by} order by pos rows between current row and 18 following)),
+on_ as (select *, env>0.5*avg(env) over (partition by {by}) as o from en where env is not null), sc as (select *, case when lag(o) over (partition by {by} order by pos) is not distinct from o then 0 else 1 end as ch from on_),
+si as (select *, sum(ch) over (partition by {by} order by pos) as sid from sc),
+sgm as (select {by}, min(pos)+1+9 as start_, case when max(pos)+1<any_value(n)-18 then max(pos)+2 else any_value(n)-18 end+9 as end_ from si where o group by {by}, sid)"""
+
+
+def _detect_sql(source: str, by: str) -> str:
+    """On to peaks pk, kept centers ce and centred windows cw; the strongest peak not within 20 of a kept one is kept next."""
+    return f"""{_env_sql(source, by)}, pk0 as (select {by}, start_, en.pos, round(abs(c),9) as a from en join sgm using({by}) where en.pos>=start_ and en.pos<end_),
+pk1 as (select *, row_number() over (partition by {by}, start_ order by a desc, pos) as r, count(*) over (partition by {by}, start_) as len from pk0),
+pk as (select {by}, pos as peak, row_number() over (partition by {by} order by a desc, pos) as i from pk1 where r=1 and len>1),
+nm as (select {by}, i, [peak] as kept from pk where i=1 union all select {by}, pk.i, case when len(list_filter(kept, lambda k: abs(k-pk.peak)<20))=0 then list_append(kept, pk.peak) else kept end from nm join pk using({by}) where pk.i=nm.i+1),
+ce as (select {by}, unnest(arg_max(kept, i)) as center from nm group by {by}),
+wi as (select {by}, center, center-10 as left_, en.pos, row_number() over (partition by {by}, center order by round(abs(c),9) desc, en.pos) as r, count(*) over (partition by {by}, center) as len from ce join en using({by}) where en.pos>=center-10 and en.pos<center+10),
+cw as (select {by}, center, left_ from wi where r=1 and len=20 and left_>=0 and abs(pos-left_-10)<=10)"""
+
+
+_SIGNAL = f"""{LI}, {CP.format('label', 'li')}, sg as (select label, class_pos as pos, class_n as n, extendedprice as x from cp)"""
+_ENV = _env_sql(_SIGNAL, "label")
+_DETECT = _detect_sql(_SIGNAL, "label")
+_AXES = f"""{LI}, {CP.format('label', 'li')}, sg as ({" union all ".join(f"select label, {i} as axis, class_pos as pos, class_n as n, {a}::double as x from cp" for i, a in enumerate(SENSORS))})"""
 
 
 @query(f"with {_ENV} select label, pos, {R('env')} as env from en where env is not null")
@@ -595,7 +614,7 @@ def envelope(spark, sf):
 
 @query(f"with {_ENV} select label, start_::bigint as \"start\", end_::bigint as \"end\" from sgm")
 def threshold_segments(spark, sf):
-    return events.segments(events.envelope(_signal(spark, sf), ["label"], 20), ["label"], 20)
+    return events.segments(events.envelope(_signal(spark, sf), ["label"], 20).persist(), ["label"], 20)
 
 
 @query(
@@ -603,21 +622,26 @@ def threshold_segments(spark, sf):
 o as (select *, row_number() over (partition by label, start_ order by a desc, pos) as r, count(*) over (partition by label, start_) as len from j) select label, pos::bigint as peak, {R('a')} as score from o where r=1 and len>1"""
 )
 def segment_peaks(spark, sf):
-    env = events.envelope(_signal(spark, sf), ["label"], 20)
+    env = events.envelope(_signal(spark, sf), ["label"], 20).persist()
     return events.peaks(env.withColumn("c", F.round("c", 9)), events.segments(env, ["label"], 20), ["label"])
 
 
-@query()
+@query(f"with recursive {_DETECT} select label, center from ce")
 def nms_centers(spark, sf):
     return events.detect(_signal(spark, sf), ["label"], 20)[1]
 
 
-@query()
+@query(f'with recursive {_DETECT} select label, center, left_ as "left" from cw')
 def centered_windows(spark, sf):
     return events.detect(_signal(spark, sf), ["label"], 20)[2]
 
 
-@query()
+@query(
+    f"""with recursive {_detect_sql(_AXES, 'label, axis')}, de as (select label, axis, count(*) as detected from ce group by all), ke as (select label, axis, count(*) as kept from cw group by all),
+al as (select label, axis, coalesce(kept,0) as kept, coalesce(detected,0) as detected from (select distinct label, axis from sg) left join de using(label, axis) left join ke using(label, axis)),
+bs as (select *, row_number() over (partition by label order by kept desc, axis) as r from al)
+select label, {[*SENSORS]}[axis+1] as axis, kept, detected from bs where r=1"""
+)
 def auto_work_axis(spark, sf):
     df = seq.class_position(li(spark, sf))
     each = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("x")) for a in SENSORS])).alias("a")
