@@ -35,6 +35,8 @@ from tidemark.llm.word_windows import word_hashes
 
 REGISTERS = 128
 BATCH = 1 << 20
+#: Shingles that run their processes at a time.
+PART = 1 << 18
 #: Members of one side of a tile, and the bytes of their texts.
 TILE, TILE_BYTES = 256, 4 << 20
 #: Pairs that one copy of a leader's text is held against.
@@ -68,10 +70,24 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
-    """Earliest point of each register, n x m; infinite for documents without shingles."""
+    """Earliest point of each register, n x m; infinite for documents without shingles. Some shingles at a time, as points only compete by time."""
     out = np.full(n * m, np.inf)
     total = np.bincount(doc, weight, n)
     limit = (np.log(m) + 3) / np.maximum(total, 1)
+    rows = np.arange(len(doc))
+    while True:
+        for a in range(0, len(rows), PART):
+            part = rows[a : a + PART]
+            points(doc[part], shingle[part], weight[part], limit, out, m)
+        empty = np.isinf(out.reshape(n, m)).any(1) & (total > 0)
+        if not empty.any():
+            return out.reshape(n, m)
+        limit[empty] *= 2
+        rows = np.flatnonzero(empty[doc])
+
+
+def points(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, limit: np.ndarray, out: np.ndarray, m: int) -> None:
+    """Lower the registers ``out`` to the points of these shingles before the limits of their documents."""
     # Blocks (lo, hi] of weights: one process each.
     top = np.ceil(np.log2(weight)).astype(np.int64) if len(weight) else np.zeros(0, np.int64)
     blocks = top + 1
@@ -86,22 +102,16 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int,
     draw = fmix64(state)
     when = -np.log(unit(draw)) / rate
     live = np.flatnonzero(when <= limit[of])
-    while True:
-        while len(live):
-            point = fmix64(draw[live] ^ _GOLDEN)
-            register = (point & np.uint64(m - 1)).astype(np.int64)
-            at = lo[live] + unit(point) * (hi[live] - lo[live])
-            ok = at <= bound[live]
-            np.minimum.at(out, of[live[ok]] * m + register[ok], when[live[ok]])
-            step[live] += np.uint64(1)
-            draw[live] = fmix64(state[live] + step[live] * _GOLDEN)
-            when[live] -= np.log(unit(draw[live])) / rate[live]
-            live = live[when[live] <= limit[of[live]]]
-        empty = np.isinf(out.reshape(n, m)).any(1) & (total > 0)
-        if not empty.any():
-            return out.reshape(n, m)
-        limit[empty] *= 2
-        live = np.flatnonzero(empty[of] & (when <= limit[of]))
+    while len(live):
+        point = fmix64(draw[live] ^ _GOLDEN)
+        register = (point & np.uint64(m - 1)).astype(np.int64)
+        at = lo[live] + unit(point) * (hi[live] - lo[live])
+        ok = at <= bound[live]
+        np.minimum.at(out, of[live[ok]] * m + register[ok], when[live[ok]])
+        step[live] += np.uint64(1)
+        draw[live] = fmix64(state[live] + step[live] * _GOLDEN)
+        when[live] -= np.log(unit(draw[live])) / rate[live]
+        live = live[when[live] <= limit[of[live]]]
 
 
 def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:

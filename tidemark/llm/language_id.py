@@ -27,6 +27,8 @@ WIDTH = 1 << 13
 UNKNOWN = "und"
 _LATIN = re.compile("[A-Za-z]")
 _BATCH = 4 << 20
+#: Characters whose n-grams are counted at a time.
+_STEP = 1 << 20
 
 
 def has_letter(text: str | None) -> bool:
@@ -35,19 +37,22 @@ def has_letter(text: str | None) -> bool:
 
 def counts(texts: list[str]) -> np.ndarray:
     """Hashed n-gram counts, one row a text, over whole texts."""
-    joined = "".join(" " + t.lower() + " " for t in texts)
-    lengths = np.array([len(" " + t.lower() + " ") for t in texts], np.int64)
-    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = np.where((code >= 48) & (code <= 57), np.uint32(48), code)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64) * WIDTH, lengths)
+    padded = [f" {t.lower()} " for t in texts]
+    ends = np.cumsum([len(t) for t in padded])
+    whole = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
     out = np.zeros(len(texts) * WIDTH, np.float32)
-    gram = np.zeros(len(code), np.uint32)
-    for order in range(1, 4):
-        gram = gram[: len(code) - order + 1] * np.uint32(0x9E3779B1) + (code[order - 1 :] + np.uint32(1)) * np.uint32(0x85EBCA6B)
-        mixed = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * order)
-        slot = (mixed >> np.uint32(19)).astype(np.int64) + doc[: len(gram)]
-        inside = doc[: len(gram)] == doc[order - 1 :]
-        out += np.bincount(slot if order == 1 else slot[inside], minlength=len(out)).astype(np.float32)
+    # A stretch at a time, with the two characters after it that its last n-grams reach into.
+    for start in range(0, len(whole), _STEP):
+        code = whole[start : start + _STEP + 2]
+        code = np.where((code >= 48) & (code <= 57), np.uint32(48), code)
+        doc = np.searchsorted(ends, np.arange(start, start + len(code)), "right")
+        gram = np.zeros(len(code), np.uint32)
+        for order in range(1, 4):
+            gram = gram[: len(code) - order + 1] * np.uint32(0x9E3779B1) + (code[order - 1 :] + np.uint32(1)) * np.uint32(0x85EBCA6B)
+            mixed = ((gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * order))[:_STEP]
+            first = doc[: len(mixed)]
+            slot = (mixed >> np.uint32(19)).astype(np.int64) + first * WIDTH
+            out += np.bincount(slot[first == doc[order - 1 : order - 1 + len(mixed)]], minlength=len(out))
     return out.reshape(len(texts), WIDTH)
 
 

@@ -36,8 +36,13 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     gaps = np.insert(raw, offsets[1:-1], 32) if len(offsets) > 2 else raw
     at = offsets + np.concatenate(([0], np.arange(len(offsets) - 2), [max(len(offsets) - 2, 0)]))[: len(offsets)]
     start, end = word_bounds(gaps)
-    hashes = _BYTES.spans(_BYTES.prefix(_TABLE[gaps]), start, end) + (end - start).astype(np.uint64)
-    return fmix64(hashes), np.searchsorted(start, at)
+    hashes = np.empty(len(start), np.uint64)
+    # A slice of words at a time: the tables of a prefix take 24 bytes a byte.
+    cut = [*np.unique(np.searchsorted(start, np.arange(0, len(gaps) + BATCH, BATCH))).tolist()]
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        lo, hi = start[a], end[b - 1]
+        hashes[a:b] = _BYTES.spans(_BYTES.prefix(_TABLE[gaps[lo:hi]]), start[a:b] - lo, end[a:b] - lo)
+    return fmix64(hashes + (end - start).astype(np.uint64)), np.searchsorted(start, at)
 
 
 class Windows:
