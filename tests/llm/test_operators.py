@@ -61,6 +61,22 @@ def test_encoder_on_other_characters():
         assert np.frombuffer(e.encode(t), e.dtype).tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_encoder_equals_the_library_on_random_and_long_texts(monkeypatch):
+    e = token_output.encoder(tokenizer_path())
+    lib = tokenizers.Tokenizer.from_file(tokenizer_path())
+    rng = np.random.default_rng(7)
+    same = lambda t: np.frombuffer(e.encode(t), e.dtype).tolist() == lib.encode(t, add_special_tokens=False).ids
+    some = [c for c in (*range(0x600), *range(0x2000, 0x2100), 0x3042, 0x4E00, 0x1F600, 0xFEFF, 0x3000) if not 0xD800 <= c < 0xE000]
+    for _ in range(400):
+        chars = rng.choice(some, 40) if rng.random() < 0.3 else rng.choice([ord(c) for c in "ab '’stvel\n\t  .,!9é"], 60)
+        assert same("".join(map(chr, chars)))
+    for c in some:
+        assert same(f"a{chr(c)}b {chr(c)}{chr(c)} 's{chr(c)}"), hex(c)
+    monkeypatch.setattr(token_output, "_STRETCH", 30)
+    for _ in range(60):
+        assert same("".join(rng.choice(list("ab  cde'st .\n9"), 400)))
+
+
 def test_tampered_dictionary_is_refused(spark, docs):
     path = work_dir(spark, "t")
     token_output.write_store(docs.limit(5), path, tokenizer_path())

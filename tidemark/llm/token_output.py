@@ -40,7 +40,10 @@ _NOT_PLAIN = re.compile(rf"[^\x00-\x1b\x20-\x7f{_PLAIN_LETTERS}€‘’“”
 _SPLIT = re.compile(
     rf" ?[{_PLAIN_LETTERS}]+| ?[0-9]+|'(?:[sdmt]|ll|ve|re)| ?[^\s{_PLAIN_LETTERS}0-9]+|\s+(?!\S)|\s+"
 )
-_CACHE_ENTRIES = 800_000
+_CACHE_ENTRIES = 500_000
+#: Longer texts are cut at a space between plain letters, which always parts two pieces, so that few pieces are held at a time.
+_STRETCH = 1 << 18
+_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 
 BLOCKS = (
     "shard int, block int, first_doc_id long, last_doc_id long, dict_sha256 string, shard_start long, tokens long, "
@@ -95,7 +98,15 @@ class Encoder:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         if len(self.pieces) > _CACHE_ENTRIES:
             self.pieces.clear()
-        return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text)))
+        if len(text) <= _STRETCH:
+            return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text)))
+        made, start = [], 0
+        while start < len(text):
+            cut = _CUT.search(text, start + _STRETCH)
+            end = cut.start() if cut else len(text)
+            made.append(b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text, start, end))))
+            start = end
+        return b"".join(made)
 
 
 @functools.lru_cache(maxsize=2)

@@ -5,7 +5,7 @@ For slot k and term t of weight w (its count in the document) the draws r, c ~ G
 documents agree in a slot with a probability equal to their generalised Jaccard similarity, sum of min over sum of max of the counts.
 The score is a function of (t, q, k), so keeping the least score keeps the sample, in a plain MIN that combines within each task.
 
-Documents are dealt by ranges of doc_id whose bounds are quantiles, so ``next in descending order`` is a LEAD inside a range; the first
+Documents are dealt by ranges of doc_id whose bounds are quantiles and whose number follows the size of all texts, so ``next in descending order`` is a LEAD inside a range; the first
 row of each range is also sent to the range before it.
 
 Defined cases: a null text is an empty one; a text without words has the all-zero fingerprint (likeness 1 to another such, else 0); a
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS = 32
+#: Bytes of text of one range of documents, about.
+RANGE_BYTES = 64 << 20
 LOWEST = -(1 << 63)
 
 
@@ -67,8 +69,9 @@ def ordered_ranges(docs: DataFrame, parts: int) -> DataFrame:
 def fingerprint(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every document."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = ordered_ranges(docs, parts).repartition(F.col("part"))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n")).collect()[0].n or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES)
+    rows = ordered_ranges(docs, parts).repartition(parts, F.col("part"))
     down = Window.partitionBy("part").orderBy(F.col("extra"), F.col("key").desc(), F.col("tie").desc())
     rows = rows.withColumn("next", F.coalesce(F.lead("text").over(down), F.lit(""))).withColumn("row", F.row_number().over(down))
     n = F.char_length("text")
