@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import NULL_ID, keyed, whole_windows
-from tidemark.llm.common import RollingHash, fmix64, gathered, materialise, packed, spread_join, text_buffer, unpacked
+from tidemark.llm.common import RollingHash, fmix64, gathered, materialise, packed, release, spread_join, text_buffer, unpacked
 from tidemark.llm.components import components
 from tidemark.llm.word_windows import word_hashes
 
 REGISTERS = 128
-BATCH = 1 << 20
+BATCH = 1 << 19
 #: Shingles that run their processes at a time.
-PART = 1 << 18
+PART = 1 << 17
 #: Members of one side of a tile, and the bytes of their texts.
 TILE, TILE_BYTES = 256, 4 << 20
 #: Pairs that one copy of a leader's text is held against.
@@ -158,6 +158,7 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 ],
                 ["doc_key", "tie", "node", "bands", "sketch", "bytes"],
             )
+        release()
 
     return docs.mapInArrow(run, "doc_key long, tie long, node binary, bands array<long>, sketch binary, bytes long")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -30,6 +32,12 @@ def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
         spark.conf.set(key, str(limit))
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task, where the C library can: a worker is kept for later tasks."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by a table in the shared folder; it outlives a lost executor."""
     spark = df.sparkSession

@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import gathered, materialise
+from tidemark.llm.common import gathered, materialise, release
 
 WIDTH = 1 << 13
 UNKNOWN = "und"
 _LATIN = re.compile("[A-Za-z]")
-_BATCH = 4 << 20
+_BATCH = 2 << 20
 #: Characters whose n-grams are counted at a time.
-_STEP = 1 << 20
+_STEP = 1 << 18
 
 
 def has_letter(text: str | None) -> bool:
@@ -56,7 +56,7 @@ def counts(texts: list[str]) -> np.ndarray:
     return out.reshape(len(texts), WIDTH)
 
 
-def chunks(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
+def chunks(texts: list[str], limit: int = 1 << 18) -> Iterator[list[str]]:
     held: list[str] = []
     size = 0
     for t in texts:
@@ -172,6 +172,7 @@ def train(docs: DataFrame, per_class: int = 400, folds: tuple[int, ...] = (0, 1,
             yield pa.RecordBatch.from_arrays([pa.array(keep[0], pa.int64()), pa.array(keep[1], pa.string()), pa.array(keep[2], pa.binary())], ["rank", "lang", "made"])
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([-n], pa.int64()), pa.array([None], pa.string()), pa.array([df.astype("<i8").tobytes()], pa.binary())], ["rank", "lang", "made"])
+        release()
 
     joined = rows.join(F.broadcast(share), F.col("lang") == F.col("s_lang")).select("text", "lang", "rank", "top")
     made = materialise(joined.mapInArrow(statistics, "rank long, lang string, made binary"), "language-id")
@@ -241,6 +242,7 @@ def accept(docs: DataFrame, model: Model, over_chance: float = 1.2, least: float
             else:
                 keep = [has_letter(t) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        release()
 
     # Numbered meanwhile, as names may hold dots.
     plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])

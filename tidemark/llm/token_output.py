@@ -34,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import release
+
 #: Characters for which the standard library's classes and those of the byte-level splitter agree.
 _PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _NOT_PLAIN = re.compile(rf"[^\x00-\x1b\x20-\x7f{_PLAIN_LETTERS}€‘’“”–—…¿¡«»§°]")
@@ -193,6 +195,9 @@ def write_store(
                 size += len(frame)
         if frames:
             yield flush()
+        # A task's pieces cost little to ask for again, and a worker that is kept would hold those of all its tasks.
+        enc.pieces.clear()
+        release()
 
     tie = F.xxhash64("text")
     ordered = docs.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
