@@ -667,10 +667,21 @@ def integer_requantize(spark, sf):
     return ev(spark, sf).select("session", "pos", resample.requantize(F.col("value") * 2.5).alias("value"))
 
 
-@query()
+#: The filter of 50 to 25 Hz by its formula: a sinc at the lower Nyquist rate under a Kaiser window of beta 5, whose Bessel function is summed here.
+_TAPS_SQL = """bes(i, b) as (select i, (select sum(power((5.0*sqrt(1-power(i/20.0,2)))/2, 2*k)/power(factorial(k::int)::double,2)) from range(0,30) r(k)) from range(-20,21) t(i)),
+h0 as (select i, b*(case when i=0 then 1.0 else sin(pi()*i/2.0)/(pi()*i/2.0) end) as h from bes), taps as (select i, h/(select sum(h) from h0) as h from h0)"""
+
+
+@query(
+    f"""with {LI}, {_TAPS_SQL}, g as (select session, pos, n, quantity as x, first_value(quantity) over w as y0, last_value(quantity) over w as y1 from li where n>=123
+ window w as (partition by session order by pos rows between unbounded preceding and unbounded following)),
+d as (select *, x-(y0+(y1-y0)*pos/(n-1)) as d from g), o as (select session, n, y0, y1, pos//2 as step from d where pos%2=0),
+ot as (select o.*, taps.i, taps.h from o cross join taps), f as (select ot.session, ot.step, any_value(ot.y0+(ot.y1-ot.y0)*ot.step*2/(ot.n-1)) as line, sum(d.d*ot.h) as v from ot join d on d.session=ot.session and d.pos=ot.step*2-ot.i group by ot.session, ot.step)
+select session, 0::bigint as run_id, step, {R('step/25.0')} as t, {R('line+v')} as x from f"""
+)
 def downsample_fir(spark, sf):
-    df = em(spark, sf).select(F.col("vec_id").alias("session"), F.lit(0).cast("long").alias("run_id"), (F.col("k") / 50.0).alias("t"), "x")
-    return resample.downsample(df, ["session", "run_id"], "t", ["x"], source_hz=50.0, target_hz=25.0, guard=False)
+    df = li(spark, sf).select("session", F.lit(0).cast("long").alias("run_id"), (F.col("pos") / 50.0).alias("t"), F.col("quantity").alias("x"))
+    return resample.downsample(df, ["session", "run_id"], "t", ["x"], source_hz=50.0, target_hz=25.0)
 
 
 # Predictions
@@ -749,7 +760,34 @@ def ceiling_check(spark, sf):
     return postprocess.ceiling(pr(spark, sf), CLASSES)
 
 
-@query()
+def _comparison_sql() -> str:
+    """Every pipeline's (name, pos, out) in one table, then frames and episodes by class."""
+    arg, parts, made = f"({_ARG.format('p')})::bigint", [f"b as (select pos, p, ({_ARG.format('p')})::bigint as pred from pr)"], []
+    parts.append(_STREAK.format("x", "b"))
+    made.append("select 'argmax' as pipeline, pos, pred as out from b")
+    made += [f"select 'threshold={t}', pos, case when list_max(p)>={t} then {arg} else -1 end from pr" for t in (0.50, 0.80, 0.95, 0.99)]
+    sure = "coalesce(last_value(case when {0} then pred end ignore nulls) over (order by pos rows between unbounded preceding and current row),-1)"
+    made += [f"select 'consecutive={n}', pos, {sure.format(f'streak+(case when run=1 then 1 else 0 end)>={n}')} from xs" for n in (2, 3, 5)]
+    for k in (3, 5, 7):
+        parts.append(f"v{k} as (select a.pos, c.pred, count(*) as n from b a join b c on c.pos between a.pos-{k - 1} and a.pos where c.pred<>-1 group by all), w{k} as (select pos, pred, row_number() over (partition by pos order by n desc, pred) as r from v{k})")
+        made.append(f"select 'majority={k}', pos, pred from w{k} where r=1")
+    nou = "list_transform({0}, lambda v, i: case when i=2 then '-inf'::double else v end)"
+    parts.append(f"u as (select pos, {nou.format('p')} as q from pr)")
+    made += [f"select 'no-unknown={t}', pos, case when list_max(q)>={t} then ({_ARG.format('q')})::bigint else -1 end from u" for t in (0.1, 0.3, 0.5)]
+    parts.append("o as (select pos, p, row_number() over (order by pos) as i from pr)")
+    for a in (1, 3, 5):
+        parts.append(f"e{a} as (select i, pos, p as e from o where i=1 union all select o.i, o.pos, list_transform(list_zip(o.p, e{a}.e), lambda z: {a / 10}::double*z[1]+{1 - a / 10}::double*z[2]) from e{a} join o on o.i=e{a}.i+1)")
+        made.append(f"select 'ema={a / 10}', pos, ({_ARG.format('e')})::bigint from e{a}")
+    parts.append(f"pq as (select pos, e, {nou.format('e')} as q from e3), sw as (select pos, e, q, ({_ARG.format('e')})=1 and list_max(e)-list_max(q)<0.2 as sw from pq)")
+    parts.append(f"cl as (select pos, case when (case when sw then list_max(q) else list_max(e) end)>=0.6 then (case when sw then {_ARG.format('q')} else {_ARG.format('e')} end) else -1 end::bigint as pred from sw)")
+    parts.append(_STREAK.format("z", "cl"))
+    made.append(f"select 'production', pos, {sure.format('streak>=2 and pred<>-1')} from zs")
+    return f"""with recursive {PR}, {", ".join(parts)}, al as ({" union all ".join(made)}),
+ch as (select *, case when lag(out) over (partition by pipeline order by pos) is not distinct from out then 0 else 1 end as ch from al)
+select pipeline, out::bigint as class, count(*) as frames, sum(ch)::bigint as episodes from ch group by pipeline, out"""
+
+
+@query(_comparison_sql())
 def pipeline_comparison(spark, sf):
     return postprocess.comparison(pr(spark, sf), CLASSES)
 
@@ -828,7 +866,13 @@ def firmware_margin(spark, sf):
     return stateful.batch(pr(spark, sf)).select("stream", "pos", "pred", "confidence")
 
 
-@query()
+@query(
+    _EMA.replace("select i, pos, p as e from o", "select i, pos, list_transform(p, lambda v: 0.3::double*v) as e from o")
+    + f""", u as (select i, pos, e, {_NOU.format('e')} as q from em_), pd as (select i, pos, (case when ({_ARG.format('e')})=1 and list_max(e)-list_max(q)<0.2 then {_ARG.format('q')} else {_ARG.format('e')} end)::bigint as pred from u),
+tr as (select i, pos, pred, pred not in (0,1) as fired, case when pred in (0,1) then -1 else pred end as last, case when pred in (0,1) then 1 else 0 end as quiet from pd where i=1
+union all select pd.i, pd.pos, pd.pred, pd.pred not in (0,1) and pd.pred<>tr.last, case when pd.pred not in (0,1) then pd.pred when tr.quiet+1>=3 then -1 else tr.last end, case when pd.pred in (0,1) then tr.quiet+1 else 0 end from tr join pd on pd.i=tr.i+1)
+select 0::bigint as stream, pos, pred from tr where fired"""
+)
 def event_transitions(spark, sf):
     from tidemark.streaming import stateful
 
