@@ -95,6 +95,26 @@ def test_profile_rules(bad):
         profile(**bad)
 
 
+def test_profile_says_all_that_is_wrong():
+    with pytest.raises(ProfileError) as e:
+        profile(separator="dot", task_type="x", sampling_rate_hz=-1)
+    assert all(x in str(e.value) for x in ("separator", "task_type", "sampling_rate_hz"))
+    with pytest.raises(ProfileError, match="gesture and continuous"):
+        profile(class_encoding={"map": {"a": 0, "b": 1}, "gesture_classes": [1], "continuous_classes": [1]})
+
+
+def test_zip_choice():
+    kept = lambda **m: intake.zip_member(zipped(**m))[1]
+    assert kept(**{".hidden.csv": "x"}) == ".hidden.csv"
+    assert kept(**{".hidden.csv": "x", "a.txt": "y"}) == "a.txt"
+    assert kept(**{"b.csv": "x", "a.txt": "y", "d__SLASH__": ""}) == "b.csv"
+    out = io.BytesIO()
+    with pytest.warns(UserWarning), zipfile.ZipFile(out, "w") as z:
+        for _ in range(2):
+            z.writestr("a.csv", "x,y\n1,2\n")
+    assert intake.zip_member(out.getvalue())[:2] == (b"x,y\n1,2\n", "a.csv")
+
+
 def test_validate_passes_and_loses(spark, tmp_path):
     good = write(tmp_path / "good.csv", block(60, 0) + block(60, 1) + block(60, 2))
     assert validate(spark, good, profile(), 20).verdict == "PASS"

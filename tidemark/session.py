@@ -22,10 +22,12 @@ def local_session(app: str = "tidemark", cpus: int | str = "*", shuffle_partitio
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or in local mode one of our own where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
