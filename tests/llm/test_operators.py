@@ -4,7 +4,9 @@ import collections
 import hashlib
 import itertools
 import re
+import sys
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -14,7 +16,7 @@ import tokenizers
 import xxhash
 
 from tests.llm import made_pages
-from tidemark.llm import bag_minhash, byte_repeats, components, decontaminate, language_id, mixing, pii, secrets, token_output, weighted_fingerprints, word_windows
+from tidemark.llm import anchors, bag_minhash, byte_repeats, components, decontaminate, language_id, mixing, pii, secrets, token_output, weighted_fingerprints, word_windows
 from tidemark.llm.queries import tokenizer_path
 from tidemark.session import work_dir
 
@@ -321,6 +323,35 @@ def test_byte_repeats(docs, rows, empty, monkeypatch, batch):
     assert byte_repeats.remove_repeats(empty).count() == 0
 
 
+def test_byte_repeats_cut_out_in_little_memory():
+    raw = np.random.default_rng(1).integers(0, 256, 1 << 19, dtype=np.uint8)
+    starts = np.flatnonzero(np.arange(len(raw) - 50) % 16 < 15)  # stretches of 15 strings, all of a batch repeated
+    some = starts % 7
+    out = byte_repeats.Stretches(50, 64)
+    tracemalloc.start()
+    out.add(raw, some, some, starts, starts, starts // 16, some.astype(np.uint64))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    body = out.held[0][-1]
+    assert body.tobytes() == b"".join(raw[i : i + min(15, len(raw) - 50 - i) + 49].tobytes() for i in range(0, len(raw) - 50, 16))
+    assert peak < 12 * len(body)
+
+
+def test_byte_repeats_gives_memory_back(docs, monkeypatch, tmp_path):
+    log = str(tmp_path / "released")
+
+    def note():
+        with open(log, "a") as f:
+            f.write(sys._getframe(1).f_code.co_name + "\n")
+
+    for module in (anchors, byte_repeats):
+        monkeypatch.setattr(module, "release", note)
+    monkeypatch.setattr(byte_repeats, "BATCH", 700)
+    byte_repeats.remove_repeats(docs).collect()
+    with open(log) as f:
+        assert set(f.read().split()) == {"emit", "merge", "meet", "run"}
+
+
 @pytest.mark.parametrize("batch", [word_windows.BATCH, 300])
 def test_word_windows(docs, rows, empty, monkeypatch, batch):
     monkeypatch.setattr(word_windows, "BATCH", batch)

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fmix64, parts, small_batches, text_buffer, word_bounds
+from tidemark.llm.common import fmix64, parts, release, small_batches, text_buffer, word_bounds
 
 #: Cells of one sketch row, at most; a row's bitmap then has 128 MiB.
 MAX_CELLS = 1 << 30
@@ -132,7 +132,7 @@ def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np
     """Count the anchors of all texts; ``anchors(raw, offsets)`` gives the hashes of a batch's anchor occurrences."""
     chunk = min(width, 1 << 22)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
@@ -165,7 +165,11 @@ def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np
         if held:
             yield from flush()
 
-    def merge(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from touched(batches)
+        release()  # here, where the arrays of the last batch are gone
+
+    def merged(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(chunk, np.uint8)
         for batch in group:
             for kind, data in zip(batch.column("kind").to_pylist(), batch.column("cells").to_pylist(), strict=True):
@@ -174,6 +178,10 @@ def build_sketch(docs: DataFrame, anchors: Callable[[np.ndarray, np.ndarray], np
         bits = zstandard.compress(np.packbits(count >= 2, bitorder="little").tobytes(), 1)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits], pa.binary())], ["part", "bits"])
 
+    def merge(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from merged(key, group)
+        release()
+
     made = docs.select("text").mapInArrow(emit, "part int, kind int, cells binary").groupBy("part").applyInArrow(merge, "part int, bits binary")
     rows = [np.zeros(width // 8, np.uint8) for _ in range(2)]
     per, each = width // chunk, chunk // 8
@@ -239,12 +247,16 @@ def apply_marks(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str, n
     spans = marks.groupBy("doc_key", "tie").agg(F.collect_list("spans").alias("spans"))
     both = keyed(docs).join(spans, ["doc_key", "tie"], "left").select("doc_key", "text", "spans")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = text_buffer(batch.column("text"))
             rows = [cut(raw[a:b], s) for a, b, s in zip(at[:-1], at[1:], batch.column("spans").to_pylist(), strict=True)]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[] for _ in types], types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_key"), *cols], ["doc_key", *names])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from kept(batches)
+        release()
+
     out = both.mapInArrow(run, f"doc_key long, {schema}")
     return out.select(F.when(F.col("doc_key") != NULL_ID, F.col("doc_key")).alias("doc_id"), *names)

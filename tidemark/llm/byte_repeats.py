@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import MARKS, apply_marks, build_sketch, byte_parts, covered, equal_groups, keyed, marks_batch, runs, sketch_width, sliding_anchor, spread, whole_windows
-from tidemark.llm.common import RollingHash, fmix64, parts
+from tidemark.llm.common import RollingHash, fmix64, parts, release
 
 BATCH = 3 << 18
 FLUSH = 16 << 20
@@ -67,6 +67,15 @@ def smallest(order: np.ndarray, groups: np.ndarray, doc: np.ndarray) -> np.ndarr
     return out
 
 
+def cut_out(raw: np.ndarray, begin: np.ndarray, length: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """The bytes of all stretches one after the other, some stretches at a time: their indexes take 40 times the bytes themselves."""
+    made = [np.zeros(0, np.uint8)]
+    for a in range(0, len(begin), at_once):
+        lo, n = begin[a : a + at_once], length[a : a + at_once]
+        made.append(raw[np.repeat(lo, n) + spread(n)])
+    return np.concatenate(made)
+
+
 class Stretches:
     """Strings that follow each other under one anchor, as stretches of bytes, gathered over batches and dealt to buckets."""
 
@@ -77,7 +86,7 @@ class Stretches:
         at = np.flatnonzero(np.concatenate(([True], (np.diff(starts) != 1) | (np.diff(anchor_at) != 0))))
         count = np.diff(np.concatenate((at, [len(starts)])))
         length = count + self.window - 1
-        body = raw[np.repeat(starts[at], length) + spread(length)]
+        body = cut_out(raw, starts[at], length)
         bucket = (fmix64(anchor[at]) % np.uint64(self.buckets)).astype(np.int32)
         self.held.append((bucket, doc[at], tie[at], pos[at].astype(np.uint32), count.astype(np.uint32), body))
         self.size += len(body) + 28 * len(at)
@@ -95,7 +104,7 @@ class Stretches:
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             p = order[a:b]
             head = [x[p].tobytes() for x in (doc, tie, pos, count)]
-            mine = body[np.repeat(begin[p], length[p]) + spread(length[p])].tobytes()
+            mine = cut_out(body, begin[p], length[p]).tobytes()
             made.append(np.array([len(p)], "<u4").tobytes() + zstandard.compress(b"".join(head) + mine, 3))
         names = bucket[order[cut[:-1]]]
         yield pa.RecordBatch.from_arrays(
@@ -121,37 +130,49 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
     held = docs.sparkSession.sparkContext.broadcast(sketch)  # bounded by anchors.MAX_CELLS
     buckets = max(64, chars // bucket_chars)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(out: Stretches, raw: np.ndarray, at: np.ndarray, row: np.ndarray, base: np.ndarray, batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        """Adds what other batches must see to ``out``; what the batch itself settles is returned. Its arrays go before the next batch."""
+        s = Strings(raw, at, window, gram)
+        if not len(s.starts):
+            return None
+        new = np.concatenate(([True], np.diff(s.at) != 0))
+        hit = held.value.repeated(s.grams[s.at[new]])
+        keep = np.repeat(hit, np.diff(np.concatenate((np.flatnonzero(new), [len(s.at)]))))
+        starts, anchor_at = s.starts[keep], s.at[keep]
+        if not len(starts):
+            return None
+        ids, ties = batch.column("doc_key").to_numpy(), batch.column("tie").to_numpy()
+        doc_of = np.searchsorted(s.bounds, starts, "right") - 1
+        doc, tie, pos = ids[row[doc_of]], ties[row[doc_of]], starts - s.bounds[doc_of] + base[doc_of]
+        first = _FIRST.spans(s.prefix, starts, starts + window)
+        second = _SECOND.spans(_SECOND.prefix(_OTHER[s.raw]), starts, starts + window)
+        gone = doc > smallest(*equal_groups(first, second), doc)
+        del first, second
+        pick = np.flatnonzero(~gone)
+        if len(pick):
+            out.add(s.raw, doc[pick], tie[pick], pos[pick], starts[pick], anchor_at[pick], s.grams[anchor_at[pick]])
+        again = np.flatnonzero(gone)
+        lo, hi = runs(starts[again] + doc_of[again])
+        if not len(lo):
+            return None
+        done = marks_batch(doc[again[lo]], tie[again[lo]], pos[again[lo]], pos[again[hi - 1]] + window)
+        return pa.RecordBatch.from_arrays([pa.array([-1] * done.num_rows, pa.int32()), *done.columns], ["bucket", "doc_key", "tie", "data"])
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Stretches(window, buckets)
-        for raw, at, row, base, batch in parts(batches, BATCH, byte_parts(window)):
-            s = Strings(raw, at, window, gram)
-            if not len(s.starts):
-                continue
-            new = np.concatenate(([True], np.diff(s.at) != 0))
-            hit = held.value.repeated(s.grams[s.at[new]])
-            keep = np.repeat(hit, np.diff(np.concatenate((np.flatnonzero(new), [len(s.at)]))))
-            starts, anchor_at = s.starts[keep], s.at[keep]
-            if not len(starts):
-                continue
-            ids, ties = batch.column("doc_key").to_numpy(), batch.column("tie").to_numpy()
-            doc_of = np.searchsorted(s.bounds, starts, "right") - 1
-            doc, tie, pos = ids[row[doc_of]], ties[row[doc_of]], starts - s.bounds[doc_of] + base[doc_of]
-            first = _FIRST.spans(s.prefix, starts, starts + window)
-            second = _SECOND.spans(_SECOND.prefix(_OTHER[s.raw]), starts, starts + window)
-            gone = doc > smallest(*equal_groups(first, second), doc)
-            again = np.flatnonzero(gone)
-            lo, hi = runs(starts[again] + doc_of[again])
-            if len(lo):
-                done = marks_batch(doc[again[lo]], tie[again[lo]], pos[again[lo]], pos[again[hi - 1]] + window)
-                yield pa.RecordBatch.from_arrays([pa.array([-1] * done.num_rows, pa.int32()), *done.columns], ["bucket", "doc_key", "tie", "data"])
-            pick = np.flatnonzero(~gone)
-            if len(pick):
-                out.add(s.raw, doc[pick], tie[pick], pos[pick], starts[pick], anchor_at[pick], s.grams[anchor_at[pick]])
+        for part in parts(batches, BATCH, byte_parts(window)):
+            done = send(out, *part)
+            if done is not None:
+                yield done
             if out.size > FLUSH:
                 yield from out.flush()
         yield from out.flush()
 
-    def meet(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from sent(batches)
+        release()
+
+    def met(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_ = []
         for batch in group:
             passed = pa.compute.is_valid(batch.column("doc_key"))
@@ -161,6 +182,7 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
             held_ += [unpack(x, window) for x in batch.filter(pa.compute.invert(passed)).column("data").to_pylist()]
         if held_:
             doc, tie, pos, count, raw = (np.concatenate(x) for x in zip(*held_, strict=True))
+            held_.clear()
             count = count.astype(np.int64)
             length = count + window - 1
             begin = np.cumsum(length) - length
@@ -181,6 +203,10 @@ def repeated_strings(docs: DataFrame, window: int = 50, gram: int = 20, bucket_c
                 o, p = owner[hit[lo]], pos[owner[hit]].astype(np.int64) + step[hit]
                 yield marks_batch(doc[o], tie[o], p[lo], p[hi - 1] + window)
 
+    def meet(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from met(group)
+        release()
+
     rows = docs.mapInArrow(emit, "bucket int, doc_key long, tie long, data binary")
     rows = rows.withColumn("bucket", F.when(F.col("doc_key").isNull(), F.col("bucket")).otherwise(F.pmod(F.xxhash64("doc_key", "tie"), F.lit(buckets)).cast("int")))
     return rows.groupBy("bucket").applyInArrow(meet, MARKS)
