@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 import tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm import made_pages
 from tidemark.llm import anchors, bag_minhash, byte_repeats, components, decontaminate, language_id, mixing, pii, secrets, token_output, weighted_fingerprints, word_windows
@@ -467,6 +468,14 @@ def test_fingerprint_error_at_half_likeness(spark):
     assert np.std([r.near_next - 0.5 for r in got]) < 0.1
 
 
+def test_fingerprint_ranges_go_to_tasks_of_their_own(docs):
+    for parts in (12, 51):
+        dealt = weighted_fingerprints.ordered_ranges(docs, parts).repartition(parts, F.col("part")).withColumn("task", F.spark_partition_id())
+        tasks = dealt.groupBy("task").agg(F.countDistinct("part").alias("n")).collect()
+        assert len(tasks) == parts
+        assert {r.n for r in tasks} == {1}
+
+
 def test_fingerprint_of_one_document(spark):
     df = spark.createDataFrame([(5, "a b a")], "doc_id long, text string")
     r = weighted_fingerprints.fingerprint(df).collect()[0]

@@ -6,7 +6,7 @@ documents agree in a slot with a probability equal to their generalised Jaccard
 The score is a function of (t, q, k), so keeping the least score keeps the sample, in a plain MIN that combines within each task.
 
 Documents are dealt by ranges of doc_id whose bounds are quantiles and whose number follows the size of all texts, so ``next in descending order`` is a LEAD inside a range; the first
-row of each range is also sent to the range before it.
+row of each range is also sent to the range before it. A range is called by a number that Spark's hash deals to a task of its own.
 
 Defined cases: a null text is an empty one; a text without words has the all-zero fingerprint (likeness 1 to another such, else 0); a
 null doc_id counts as the least id; rows that repeat an id follow each other in the order of a text hash; a lone document is its
@@ -15,7 +15,7 @@ own next; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOTS = 32
@@ -48,6 +48,18 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     return (first + F.size(F.filter(rest, lambda x: x <= key))).cast("int")
 
 
+def dealt_names(spark: SparkSession, parts: int) -> list[int]:
+    """A number for each of ``parts`` partitions, such that ``repartition(parts, number)`` sends it there."""
+    names: dict[int, int] = {}
+    start, step = 0, 16 * parts
+    while len(names) < parts:
+        goes = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("to")
+        for i, r in enumerate(spark.range(start, start + step, 1, 1).select(goes).collect(), start):
+            names.setdefault(r.to, i)
+        start += step
+    return [names[i] for i in range(parts)]
+
+
 def ordered_ranges(docs: DataFrame, parts: int) -> DataFrame:
     """(part, extra, key, tie, doc_id, text): rows by range of doc_id, with the first row of the next range as an extra."""
     spark = docs.sparkSession
@@ -63,7 +75,9 @@ def ordered_ranges(docs: DataFrame, parts: int) -> DataFrame:
     heads = spark.createDataFrame(to, "h_key long, h_tie long, to int")
     rows = rows.join(F.broadcast(heads), (F.col("key") == F.col("h_key")) & (F.col("tie") == F.col("h_tie")), "left")
     where = F.when(F.col("to").isNull(), F.array("part")).otherwise(F.array("part", "to"))
-    return rows.select("doc_id", "key", "tie", "text", F.posexplode(where).alias("extra", "part"))
+    rows = rows.select("doc_id", "key", "tie", "text", F.posexplode(where).alias("extra", "range"))
+    names = F.array(*[F.lit(x) for x in dealt_names(spark, parts)])
+    return rows.withColumn("part", F.get(names, F.col("range"))).drop("range")
 
 
 def fingerprint(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
